@@ -1,13 +1,13 @@
 """Totals and ranks along a global order, without a single-task sort.
 
 A plain ``sum(...) over (order by ...)`` puts every row into one task.  Here the
-rows are laid out by range instead, each range is summed on its own, and only
-one subtotal per range is accumulated globally.
+rows are laid out by range, each range is summed on its own, and only one
+subtotal per range is accumulated globally.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,41 +18,59 @@ _RANGE = "__range"
 
 
 def running_sums(
-    points: DataFrame, order: Sequence[Column], totals: Mapping[str, Column]
+    points: DataFrame,
+    order: Sequence[Column],
+    totals: Mapping[str, Column],
+    group: str | None = None,
+    wanted: Callable[[], Column] | None = None,
 ) -> DataFrame:
-    """Add inclusive running totals along ``order``, which must not have ties.
+    """Add running totals along ``order``, which must not have ties.
 
-    ``points`` should already be reduced to one row per order value (so a value
-    shared by a third of the raw table is one row here).  The copy is taken
+    For every name in ``totals`` the result gains ``name`` (the total up to and
+    including the row) and ``name_all`` (the total of all rows).  With ``group``
+    both restart for each value of that column, which should have few values.
+
+    ``points`` should already be reduced to one row per order value, so a value
+    shared by a third of the raw table is one row here.  It is copied once,
     because range numbers must not change between the two reads of it.
+
+    ``wanted`` may pick ranges, by ``name_before``, ``name_range`` and
+    ``name_all``; rows of other ranges are then neither sorted nor returned.
     """
-    laid_out = reliable_copy(points.repartitionByRange(*order)).withColumn(
+    keys = [group] if group else []
+    laid_out = reliable_copy(points.repartitionByRange(*keys, *order)).withColumn(
         _RANGE, F.spark_partition_id()
     )
-    subtotals = laid_out.groupBy(_RANGE).agg(*[F.sum(c).alias(n) for n, c in totals.items()])
-    # One row per range: as many rows as there are shuffle partitions, so both
-    # this window and the broadcast below have a fixed bound.
-    earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    subtotals = laid_out.groupBy(*keys, _RANGE).agg(
+        *[F.sum(c).alias(f"{n}_range") for n, c in totals.items()]
+    )
+    # At most one row per range and group value: the number of shuffle
+    # partitions bounds this window and the broadcast below, not the data.
+    groups = Window.partitionBy(*keys)
+    earlier = groups.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = subtotals.select(
-        _RANGE,
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__{n}") for n in totals],
+        "*",
+        *[F.coalesce(F.sum(f"{n}_range").over(earlier), F.lit(0)).alias(f"{n}_before") for n in totals],
+        *[F.sum(f"{n}_range").over(groups).alias(f"{n}_all") for n in totals],
     )
+    if wanted is not None:
+        offsets = offsets.where(wanted())
     within = (
-        Window.partitionBy(_RANGE)
+        Window.partitionBy(*keys, _RANGE)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return laid_out.join(F.broadcast(offsets), _RANGE).select(
+    return laid_out.join(F.broadcast(offsets), [*keys, _RANGE]).select(
         *points.columns,
-        *[(F.sum(c).over(within) + F.col(f"__{n}")).alias(n) for n, c in totals.items()],
+        *[(F.sum(c).over(within) + F.col(f"{n}_before")).alias(n) for n, c in totals.items()],
+        *[F.col(f"{n}_all") for n in totals],
     )
 
 
 def ranked(points: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Number the rows 0, 1, 2, ... along ``order``, which must not have ties."""
-    return running_sums(points, order, {name: F.lit(1)}).withColumn(
-        name, F.col(name) - F.lit(1)
-    )
+    counted = running_sums(points, order, {name: F.lit(1)})
+    return counted.select(*points.columns, (F.col(name) - 1).alias(name))
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -87,39 +87,34 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     by range, and only the two rows around each wanted rank are picked.
     """
     counts = _value_counts(df, columns, "double")
-    order = [F.col("column"), F.col("value")]
-    ends = running_sums(counts, order, {"end": F.col("n")})
-    # One row per column: where its ranks start and how many rows it has.
-    spans = ends.groupBy("column").agg(
-        F.min(F.col("end") - F.col("n")).alias("base"), F.sum("n").alias("total")
-    )
-    placed = ends.join(F.broadcast(spans), "column").select(
-        "column",
-        "value",
-        "total",
-        (F.col("end") - F.col("n") - F.col("base")).alias("start"),
-        (F.col("end") - F.col("base")).alias("end"),
-    )
+    ranks = [(F.col("end_all") - 1) * F.lit(float(p)) for p in probabilities]
+
+    def holds(start: Column, end: Column, rank: Column) -> Column:
+        return (start <= rank) & (rank < end)
+
+    def wanted() -> Column:
+        start, end = F.col("end_before"), F.col("end_before") + F.col("end_range")
+        tests = [holds(start, end, f(rank)) for rank in ranks for f in (F.floor, F.ceil)]
+        return reduce(lambda left, right: left | right, tests)
+
+    placed = running_sums(counts, [F.col("value")], {"end": F.col("n")}, "column", wanted)
 
     def at(rank: Column) -> Column:
-        inside = (F.col("start") <= rank) & (rank < F.col("end"))
+        inside = holds(F.col("end") - F.col("n"), F.col("end"), rank)
         return F.max(F.when(inside, F.col("value")))
 
-    picks = []
-    for p in probabilities:
-        rank = (F.col("total") - 1) * F.lit(float(p))
-        picks.append(
-            F.struct(
-                at(F.floor(rank)).alias("low"),
-                at(F.ceil(rank)).alias("high"),
-                F.max(rank - F.floor(rank)).alias("part"),
-            ).alias(f"p{len(picks)}")
-        )
+    picks = [
+        F.struct(
+            at(F.floor(rank)).alias("low"),
+            at(F.ceil(rank)).alias("high"),
+            F.max(rank - F.floor(rank)).alias("part"),
+        ).alias(f"p{i}")
+        for i, rank in enumerate(ranks)
+    ]
     rows = F.array(
         *[
             F.struct(
-                F.lit(float(p)).alias("probability"),
-                _between(F.col(f"p{i}")).alias("value"),
+                F.lit(float(p)).alias("probability"), _between(F.col(f"p{i}")).alias("value")
             )
             for i, p in enumerate(probabilities)
         ]
