@@ -58,12 +58,22 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one_row.select(F.inline(rows))
 
 
+def _number(columns: Sequence[str]) -> dict[str, int]:
+    """Columns by position: shuffles carry a small number instead of a name."""
+    return {c: i for i, c in enumerate(columns)}
+
+
+def _named(df: DataFrame, columns: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in columns])
+    return df.select(names[F.col("column")].alias("column"), *rest)
+
+
 def _value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    """(column, value, n) over all columns: the table shrinks before any sort."""
+    """(column, value, n): one row per distinct non-null value of each column."""
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value"))
-            for c in columns
+            F.struct(F.lit(i).alias("column"), F.col(c).cast(kind).alias("value"))
+            for c, i in _number(columns).items()
         ]
     )
     return (
@@ -74,19 +84,80 @@ def _value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame
     )
 
 
+_SKETCH = 10_000  # the rank of a sketched quantile is off by at most rows / _SKETCH
+
+
+def _brackets(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> dict[str, list[tuple[float, float]]]:
+    """Disjoint value intervals per column that must hold the wanted quantiles.
+
+    One pass of mergeable sketches; two numbers per quantile reach the driver.
+    """
+    margin = 4 / _SKETCH
+    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)]
+    sketched = df.agg(
+        *[
+            F.percentile_approx(F.col(c).cast("double"), edges, _SKETCH).alias(str(i))
+            for c, i in _number(columns).items()
+        ]
+    ).first()
+    found: dict[str, list[tuple[float, float]]] = {}
+    for c, values in zip(columns, sketched):
+        found[c] = []
+        pairs = sorted(zip(values[::2], values[1::2])) if values else []
+        for low, high in pairs:
+            if found[c] and low <= found[c][-1][1]:
+                start, end = found[c].pop()
+                low, high = start, max(end, high)
+            found[c].append((low, high))
+    return found
+
+
+def _bracketed(column: int, value: Column, brackets: Sequence[tuple[float, float]]) -> Column:
+    """Place of a value: inside a bracket by itself, outside only by its gap."""
+    segment = F.when(value.isNull(), None)
+    for i, (low, high) in enumerate(brackets):
+        segment = segment.when(value < low, 2 * i).when(value <= high, 2 * i + 1)
+    segment = segment.otherwise(2 * len(brackets))
+    return F.struct(
+        F.lit(column).alias("column"),
+        segment.alias("segment"),
+        F.when(segment % 2 == 1, value).alias("value"),
+    )
+
+
 def _between(pick: Column) -> Column:
     low, high, part = (pick.getField(n) for n in ("low", "high", "part"))
-    return low + part * (high - low)
+    lost = F.raise_error(F.lit("a quantile fell outside its sketched bracket"))
+    return F.when(low.isNotNull() & high.isNotNull(), low + part * (high - low)).otherwise(lost)
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """(column, probability, value): exact, linearly interpolated quantiles.
 
-    Built-in exact percentiles keep a map of all distinct values in one task.
-    Here distinct values are counted in parallel, ranked along (column, value)
-    by range, and only the two rows around each wanted rank are picked.
+    NULL and NaN are left out.  Built-in exact percentiles keep a map of all
+    distinct values in one task.  Here a first pass brackets each quantile by a
+    sketch with a guaranteed rank error.  A second pass keeps the values inside
+    the brackets and merely counts the rest, so about 0.1 % of the rows are
+    shuffled per quantile; their ranks are found by range.
     """
-    counts = _value_counts(df, columns, "double")
+    present = df.select(
+        *[
+            F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
+            for c in columns
+        ]
+    )
+    brackets = _brackets(present, columns, probabilities)
+    cells = F.array(
+        *[_bracketed(i, F.col(c), brackets[c]) for c, i in _number(columns).items()]
+    )
+    counts = (
+        present.select(F.inline(cells))
+        .where(F.col("segment").isNotNull())
+        .groupBy("column", "segment", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     ranks = [(F.col("end_all") - 1) * F.lit(float(p)) for p in probabilities]
 
     def holds(start: Column, end: Column, rank: Column) -> Column:
@@ -97,7 +168,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         tests = [holds(start, end, f(rank)) for rank in ranks for f in (F.floor, F.ceil)]
         return reduce(lambda left, right: left | right, tests)
 
-    placed = running_sums(counts, [F.col("value")], {"end": F.col("n")}, "column", wanted)
+    order = [F.col("segment"), F.col("value")]
+    placed = running_sums(counts, order, {"end": F.col("n")}, "column", wanted)
 
     def at(rank: Column) -> Column:
         inside = holds(F.col("end") - F.col("n"), F.col("end"), rank)
@@ -119,7 +191,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
             for i, p in enumerate(probabilities)
         ]
     )
-    return placed.groupBy("column").agg(*picks).select("column", F.inline(rows))
+    picked = placed.groupBy("column").agg(*picks).select("column", F.inline(rows))
+    return _named(picked, columns, ["probability", "value"])
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -135,7 +208,11 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         by_type.setdefault(field.dataType.simpleString(), []).append(field.name)
     best = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).cast("string")
     parts = [
-        _value_counts(df, names, kind).groupBy("column").agg(best.alias("value"))
+        _named(
+            _value_counts(df, names, kind).groupBy("column").agg(best.alias("value")),
+            names,
+            ["value"],
+        )
         for kind, names in by_type.items()
     ]
     return reduce(DataFrame.unionByName, parts)
