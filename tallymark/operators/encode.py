@@ -21,7 +21,7 @@ from pyspark.ml.feature import (
     VectorIndexer,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.ordered import ranked
@@ -36,21 +36,54 @@ def level_index(df: DataFrame, column: str, order: str = "frequency", by: str |
     """(value, index): every non-null value numbered 0, 1, 2, ...
 
     ``order`` is ``frequency`` (most frequent first, ties by value),
-    ``alphabet``, or ``first_seen`` (smallest ``by`` first).
+    ``alphabet`` (by value), or ``first_seen`` (smallest ``by`` first).
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    first, keys = _level_order(order, by)
+    levels = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    numbered = ranked(levels.agg(first.alias("__first")), keys, "index")
+    return numbered.select("value", F.col("index").cast("double").alias("index"))
+
+
+def level_indexes(
+    df: DataFrame, columns: Sequence[str], order: str = "frequency", by: str | None = None
+) -> DataFrame:
+    """(column, value, index) for several text columns, from one pass and one ranking."""
+    first, keys = _level_order(order, by)
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    )
+    others = [by] if by else []
+    levels = (
+        df.select(*others, F.inline(cells))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(first.alias("__first"))
+    )
+    numbered = ranked(levels, keys, "index", group="column")
+    return numbered.select("column", "value", F.col("index").cast("double").alias("index"))
+
+
+def _level_order(order: str, by: str | None) -> tuple[Column, list[Column]]:
     if order == "frequency":
-        levels = values.agg(F.count(F.lit(1)).alias("__n"))
-        keys = [F.desc("__n"), F.asc("value")]
-    elif order == "alphabet":
-        levels = values.agg(F.lit(1).alias("__n"))
-        keys = [F.asc("value")]
-    elif order == "first_seen" and by is not None:
-        levels = values.agg(F.min(by).alias("__n"))
-        keys = [F.asc("__n"), F.asc("value")]
-    else:
-        raise ValueError("order is frequency, alphabet, or first_seen with a column to go by")
-    return ranked(levels, keys, "index").select("value", F.col("index").cast("double").alias("index"))
+        return F.count(F.lit(1)), [F.desc("__first"), F.asc("value")]
+    if order == "alphabet":
+        return F.lit(0), [F.asc("value")]
+    if order == "first_seen" and by is not None:
+        return F.min(by), [F.asc("__first"), F.asc("value")]
+    raise ValueError("order is frequency, alphabet, or first_seen with a column to go by")
+
+
+def of_column(levels: DataFrame, column: str) -> DataFrame:
+    """The levels of one column out of ``level_indexes``."""
+    return levels.where(F.col("column") == column).select("value", "index")
+
+
+def encode_columns(df: DataFrame, columns: Sequence[str], levels: DataFrame, keep: bool = False) -> DataFrame:
+    """Replace several text columns by their indexes."""
+    encoded = df
+    for column in columns:
+        encoded = apply_levels(encoded, column, of_column(levels, column), f"__{column}", keep)
+    return encoded.select(*[F.col(f"__{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def apply_levels(df: DataFrame, column: str, levels: DataFrame, name: str, keep: bool = False) -> DataFrame:

@@ -67,9 +67,11 @@ def running_sums(
     )
 
 
-def ranked(points: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+def ranked(
+    points: DataFrame, order: Sequence[Column], name: str = "rank", group: str | None = None
+) -> DataFrame:
     """Number the rows 0, 1, 2, ... along ``order``, which must not have ties."""
-    counted = running_sums(points, order, {name: F.lit(1)})
+    counted = running_sums(points, order, {name: F.lit(1)}, group)
     return counted.select(*points.columns, (F.col(name) - 1).alias(name))
 
 

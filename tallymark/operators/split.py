@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 _DIGITS = 8  # hex digits of the digest that decide: steps of 1 / 2**32
 
 
-def digest(key: str, salt: str = "") -> Column:
-    """First digits of the MD5 of the key's text; ``salt`` gives another draw."""
-    content = F.col(key).cast("string")
+def digest(key: str | Sequence[str], salt: str = "") -> Column:
+    """First digits of the MD5 of the key's text; ``salt`` gives another draw.
+
+    A key of several columns is joined with a separator.
+    """
+    content = F.col(key).cast("string") if isinstance(key, str) else F.concat_ws("|", *key)
     if salt:
         content = F.concat(F.lit(salt), content)
     return F.substring(F.md5(content), 1, _DIGITS)
@@ -27,14 +30,16 @@ def cut(fraction: float) -> str:
     return format(round(fraction * 16**_DIGITS), f"0{_DIGITS}x")
 
 
-def below(key: str, fraction: float, salt: str = "") -> Column:
+def below(key: str | Sequence[str], fraction: float, salt: str = "") -> Column:
     """True for about ``fraction`` of the keys."""
     if fraction >= 1:
         return F.lit(True)
     return digest(key, salt) < F.lit(cut(fraction))
 
 
-def split(df: DataFrame, key: str, weights: Sequence[float], salt: str = "") -> list[DataFrame]:
+def split(
+    df: DataFrame, key: str | Sequence[str], weights: Sequence[float], salt: str = ""
+) -> list[DataFrame]:
     """Disjoint parts in proportion to ``weights``; together they are the table."""
     total = float(sum(weights))
     parts, start, done = [], None, 0.0
@@ -51,7 +56,9 @@ def split(df: DataFrame, key: str, weights: Sequence[float], salt: str = "") ->
     return parts
 
 
-def with_fold(df: DataFrame, key: str, folds: int, name: str = "fold", salt: str = "fold") -> DataFrame:
+def with_fold(
+    df: DataFrame, key: str | Sequence[str], folds: int, name: str = "fold", salt: str = "fold"
+) -> DataFrame:
     """Add a fold number 0..folds-1 for cross-validation."""
     number = F.conv(digest(key, salt), 16, 10).cast("bigint")
     return df.withColumn(name, (number % folds).cast("int"))

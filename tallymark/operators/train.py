@@ -145,7 +145,7 @@ def grid(model: Estimator, choices: Mapping[str, Sequence[Any]]) -> list:
 
 def cross_validate(
     train: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     model: Estimator,
     choices: Mapping[str, Sequence[Any]],
     evaluator: Evaluator | None = None,
