@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructType
+
+_TYPES = {"int": IntegerType, "double": DoubleType, "string": StringType, "date": DateType}
 
 
 def _schema(fields: str) -> StructType:
-    return StructType.fromDDL(fields)
+    """``name type, name type, ...``, readable before any session exists."""
+    schema = StructType()
+    for field in fields.split(", "):
+        name, kind = field.split(" ")
+        schema = schema.add(name, _TYPES[kind]())
+    return schema
 
 
 # Names and types of the file columns, in file order.
