@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -93,20 +94,27 @@ def _brackets(
     """Disjoint value intervals per column that must hold the wanted quantiles.
 
     One pass of mergeable sketches; two numbers per quantile reach the driver.
+    A column with few values keeps them all: there the margin would be less
+    than the step from one rank to the next.
     """
     margin = 4 / _SKETCH
     edges = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)]
     sketched = df.agg(
         *[
-            F.percentile_approx(F.col(c).cast("double"), edges, _SKETCH).alias(str(i))
+            F.struct(
+                F.count(c).alias("n"),
+                F.percentile_approx(F.col(c).cast("double"), edges, _SKETCH).alias("edges"),
+            ).alias(str(i))
             for c, i in _number(columns).items()
         ]
     ).first()
     found: dict[str, list[tuple[float, float]]] = {}
-    for c, values in zip(columns, sketched):
+    for c, sketch in zip(columns, sketched):
+        if sketch.n <= 2 * _SKETCH:
+            found[c] = [(-math.inf, math.inf)]
+            continue
         found[c] = []
-        pairs = sorted(zip(values[::2], values[1::2])) if values else []
-        for low, high in pairs:
+        for low, high in sorted(zip(sketch.edges[::2], sketch.edges[1::2])):
             if found[c] and low <= found[c][-1][1]:
                 start, end = found[c].pop()
                 low, high = start, max(end, high)

@@ -109,10 +109,14 @@ def indexed_logistic(learn: DataFrame, max_categories: int = 3) -> PipelineModel
         return Pipeline(stages=[label_index, slots, model, back]).fit(rows)
 
 
-def curves(scored: DataFrame) -> dict[str, DataFrame]:
-    """Area under the curve and best threshold of a scored table."""
+def curves(scored: DataFrame, label: str = "label") -> dict[str, DataFrame]:
+    """Area under the curve and best threshold of a scored table.
+
+    ``label`` must be the column the model was trained on: the more frequent
+    original label is 0 in an indexed one.
+    """
     points = evaluate.operating_points(
-        scored.select("label", F.col("probability")[1].alias("score")), "label", "score"
+        scored.select(label, F.col("probability")[1].alias("score")), label, "score"
     )
     return {"auc": evaluate.auc(points), "best_threshold": evaluate.best_threshold(points)}
 

@@ -134,8 +134,8 @@ def test_engine_tests_end_to_end(spark, tmp_path):
     ready = engine_tests.featured(learn, features)
     model = engine_tests.indexed_logistic(ready)
     assert {r.predicted_label for r in model.transform(ready).collect()} <= {"0.0", "1.0"}
-    scored = train.score(model, engine_tests.featured(holdout, features), ["label"])
-    found = engine_tests.curves(scored)
+    scored = train.score(model, engine_tests.featured(holdout, features), ["indexed_label"])
+    found = engine_tests.curves(scored, "indexed_label")
     assert found["auc"].first().auc > 0.9 and found["best_threshold"].first().f_measure > 0.9
     network = engine_tests.perceptron(ready, hidden=[3], maxIter=5)
     assert 0 <= evaluate.accuracy(train.score(network, ready, ["label"]), "label", "prediction").first()[0] <= 1
