@@ -97,6 +97,18 @@ def train_logistic_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(train.fit(learn, stages, model), holdout)
 
 
+def logistic_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At its optimum the model expects, per category, as many ones as there are."""
+    outcomes = _outcomes(spark, sf_dir)
+    model = train.fit(
+        outcomes, _stages(), train.estimator("logistic", maxIter=200, regParam=0.0, tol=1e-12)
+    )
+    scored = train.score(model, outcomes, ["o_orderpriority"])
+    return scored.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("probability")[1]), 2).alias("expected")
+    )
+
+
 def train_decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train_and_score(spark, sf_dir, "tree", maxDepth=5, maxBins=32, seed=_SEED)
 
@@ -136,6 +148,19 @@ def train_gbt_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.score(_price_model(learn), holdout, ["o_orderkey", "o_totalprice"])
 
 
+def boosted_level_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With one category as only feature, boosting must arrive at its level means."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    learn, holdout = split.split(orders, "o_orderkey", [0.7, 0.3])
+    indexed = encode.fit_string_index(learn, "o_orderpriority", "priority_index")
+    stages = [indexed, *encode.feature_stages([], ["priority_index"])]
+    model = train.estimator(
+        "boosted_regression", labelCol="o_totalprice", maxIter=3, maxDepth=5, seed=_SEED
+    )
+    scored = train.score(train.fit(learn, stages, model), holdout, ["o_orderkey"])
+    return scored.withColumn("prediction", F.round("prediction", 3))
+
+
 def blend_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn, holdout = _parts(spark, sf_dir)
     forest = train.estimator("forest", numTrees=25, maxDepth=5, seed=_SEED)
@@ -231,11 +256,13 @@ QUERIES = {
     "train_logistic": train_logistic,
     "train_logistic_weighted": train_logistic_weighted,
     "train_logistic_bounded": train_logistic_bounded,
+    "logistic_balance": logistic_balance,
     "train_decision_tree": train_decision_tree,
     "train_random_forest": train_random_forest,
     "feature_importance": feature_importance,
     "train_gbt": train_gbt,
     "train_gbt_regressor": train_gbt_regressor,
+    "boosted_level_means": boosted_level_means,
     "blend_models": blend_models,
     "train_mlp": train_mlp,
     "train_linear_svc": train_linear_svc,
@@ -287,6 +314,16 @@ ORACLES = {
         SELECT 'intercept' AS term,
                round(regr_intercept(l_extendedprice, l_quantity), 6) AS value {_LINE}
         UNION ALL SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 6) {_LINE}""",
+    "logistic_balance": f"""
+        SELECT o_orderpriority, count(*) AS n, round(sum(label), 2) AS expected
+        FROM {_OUTCOMES} JOIN orders USING (o_orderkey) GROUP BY o_orderpriority""",
+    "boosted_level_means": """
+        WITH o AS (SELECT *, substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) < 'b3333333' AS learn
+                   FROM orders),
+        m AS (SELECT o_orderpriority, avg(o_totalprice) AS mean FROM o WHERE learn
+              GROUP BY o_orderpriority)
+        SELECT o_orderkey, round(mean, 3) AS prediction
+        FROM o JOIN m USING (o_orderpriority) WHERE NOT learn""",
     "train_naive_bayes": f"""
         WITH o AS MATERIALIZED {_OUTCOMES},
         s AS (SELECT o_orderkey, label, {_log_joint(1)} AS one, {_log_joint(0)} AS zero
