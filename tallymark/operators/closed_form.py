@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,14 +32,19 @@ def naive_bayes(
     sums = df.groupBy(F.col(label).alias("label")).agg(
         F.sum(w).alias("__weight"), *[F.sum(w * F.col(f)).alias(f) for f in features]
     )
-    everything = sums.agg(
-        F.log(F.sum("__weight") + F.count(F.lit(1)) * F.lit(smoothing))
-    ).scalar()
+    # One row per class here, so this window is tiny; a scalar subquery would
+    # need other sums than these and read the table again.
+    classes = Window.partitionBy()
+    everything = F.log(
+        F.sum("__weight").over(classes) + F.count(F.lit(1)).over(classes) * F.lit(smoothing)
+    )
     mass = sum((F.col(f) for f in features), F.lit(0.0)) + F.lit(len(features) * smoothing)
     terms = [("pi", F.log(F.col("__weight") + smoothing) - everything)]
     terms += [(f, F.log(F.col(f) + smoothing) - F.log(mass)) for f in features]
     cells = [F.struct(F.lit(n).alias("term"), value.alias("value")) for n, value in terms]
-    return sums.select("label", F.inline(F.array(*cells)))
+    return sums.select("label", F.array(*cells).alias("cells")).select(
+        "label", F.inline("cells")
+    )
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:

@@ -24,11 +24,6 @@ def mark_in_list(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFram
     return df.join(listed, F.col(key) == F.col(name), "left")
 
 
-def in_both_lists(df: DataFrame, key: str, first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows whose key is on both distinct lists."""
-    return df.join(first.toDF(key), key).join(second.toDF(key), key)
-
-
 def list_flags(lists: DataFrame, first: str, second: str, key: str) -> DataFrame:
     """One row per id with ``in_first`` / ``in_second``.
 
@@ -47,6 +42,27 @@ def list_flags(lists: DataFrame, first: str, second: str, key: str) -> DataFrame
     )
 
 
+def mark_in_lists(
+    df: DataFrame, key: str, flags: DataFrame, first: str, second: str
+) -> DataFrame:
+    """Left-join two lists at once; each new column holds the id, or NULL when not listed.
+
+    Both lists come from ``list_flags``, so they are scanned and joined once.
+    """
+    marked = df.join(flags.toDF(key, "__a", "__b"), key, "left")
+    return marked.select(
+        *df.columns,
+        F.when(F.col("__a"), F.col(key)).alias(first),
+        F.when(F.col("__b"), F.col(key)).alias(second),
+    )
+
+
+def in_both_lists(df: DataFrame, key: str, flags: DataFrame) -> DataFrame:
+    """Rows whose key is on both lists of ``list_flags``."""
+    both = flags.toDF(key, "__a", "__b").where(F.col("__a") & F.col("__b")).select(key)
+    return df.join(both, key).select(*df.columns)
+
+
 def with_membership(
     df: DataFrame, key: str, flags: DataFrame, name: str = "test_results", one_sided: int = 3
 ) -> DataFrame:

@@ -112,13 +112,13 @@ def left_join_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relate.mark_in_list(_ids(spark, sf_dir), "o_orderkey", listed, "test_a")
 
 
+def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relate.list_flags(_lists(spark, sf_dir), "test_a", "test_b", "o_orderkey")
+
+
 def left_join_two_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = _lists(spark, sf_dir)
-    once = relate.mark_in_list(
-        _ids(spark, sf_dir), "o_orderkey", relate.id_list(lists, "test_a", "test_a"), "test_a"
-    )
-    return relate.mark_in_list(
-        once, "o_orderkey", relate.id_list(lists, "test_b", "test_b"), "test_b"
+    return relate.mark_in_lists(
+        _ids(spark, sf_dir), "o_orderkey", _flags(spark, sf_dir), "test_a", "test_b"
     )
 
 
@@ -129,20 +129,13 @@ def left_join_either_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inner_join_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = _lists(spark, sf_dir)
-    return relate.in_both_lists(
-        _ids(spark, sf_dir),
-        "o_orderkey",
-        relate.id_list(lists, "test_a", "test_a"),
-        relate.id_list(lists, "test_b", "test_b"),
-    )
+    return relate.in_both_lists(_ids(spark, sf_dir), "o_orderkey", _flags(spark, sf_dir))
 
 
 def membership_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = relate.list_flags(_lists(spark, sf_dir), "test_a", "test_b", "o_orderkey")
-    coded = relate.with_membership(_ids(spark, sf_dir), "o_orderkey", flags)
-    strict = relate.with_membership(coded, "o_orderkey", flags, "both_or_not", one_sided=2)
-    return strict.select("o_orderkey", "test_results", "both_or_not")
+    coded = relate.with_membership(_ids(spark, sf_dir), "o_orderkey", _flags(spark, sf_dir))
+    both = F.when(F.col("test_results") == 1, 1).otherwise(2)
+    return coded.select("o_orderkey", "test_results", both.alias("both_or_not"))
 
 
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:

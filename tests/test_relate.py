@@ -64,15 +64,14 @@ def test_two_left_joins_do_not_multiply_rows(spark):
     once = relate.mark_in_list(ids, "ID", relate.id_list(lists, "TestA", "A"), "A")
     twice = relate.mark_in_list(once, "ID", relate.id_list(lists, "TestB", "B"), "B")
     assert rows(twice) == [(1, 1, 1), (2, None, None)]
+    flags = relate.list_flags(lists, "TestA", "TestB", "ID")
+    assert rows(relate.mark_in_lists(ids, "ID", flags, "A", "B")) == rows(twice)
 
 
 def test_in_both_lists(spark):
-    ids = spark.createDataFrame([(1,), (2,), (3,)], "ID int")
-    lists = two_lists(spark, [(1, 2), (2, 3)])
-    both = relate.in_both_lists(
-        ids, "ID", relate.id_list(lists, "TestA", "ID"), relate.id_list(lists, "TestB", "ID")
-    )
-    assert rows(both) == [(2,)]
+    ids = spark.createDataFrame([(1,), (2,), (3,), (3,)], "ID int")
+    flags = relate.list_flags(two_lists(spark, [(1, 2), (2, None), (None, 3)]), "TestA", "TestB", "ID")
+    assert rows(relate.in_both_lists(ids, "ID", flags)) == [(2,)]
 
 
 def test_empty_lists_keep_every_id(spark):
