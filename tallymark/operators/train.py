@@ -28,11 +28,12 @@ from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.labels import best_class, mean_of, softmax
 from tallymark.operators.split import with_fold
+from tallymark.session import reliable_copy
 
 ESTIMATORS = {
     "linear": LinearRegression,
@@ -53,11 +54,17 @@ def estimator(kind: str, **params: Any) -> Estimator:
 
 
 @contextmanager
-def held(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a table on the executors while an iterative fit reads it repeatedly.
+def ready(df: DataFrame, in_memory: bool = False) -> Iterator[DataFrame]:
+    """A training table that an iterative fit may read many times.
 
-    Partitions that do not fit go to disk, lost ones are computed again.
+    By default a copy in the checkpoint folder: what made the table runs once,
+    tasks carry no history of it, and lost executors cost nothing.  With
+    ``in_memory`` it is persisted instead (to disk where memory is short) and
+    released afterwards, for tables that are cheap to make again.
     """
+    if not in_memory:
+        yield reliable_copy(df)
+        return
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield df
@@ -65,9 +72,11 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def fit(train: DataFrame, stages: Sequence, model: Estimator) -> PipelineModel:
+def fit(
+    train: DataFrame, stages: Sequence, model: Estimator, in_memory: bool = False
+) -> PipelineModel:
     """Fit feature stages and a model on a training table."""
-    with held(train) as rows:
+    with ready(train, in_memory) as rows:
         return Pipeline(stages=[*stages, model]).fit(rows)
 
 
@@ -107,7 +116,7 @@ def blend(models: Mapping[str, tuple[Model, str]], df: DataFrame, keep: Sequence
 
 def fit_one_vs_rest(train: DataFrame, model: Estimator, parallelism: int = 4) -> OneVsRestModel:
     """Fit one two-class model per class, several at a time."""
-    with held(train) as rows:
+    with ready(train) as rows:
         return OneVsRest(classifier=model, parallelism=parallelism).fit(rows)
 
 
@@ -165,7 +174,7 @@ def cross_validate(
         parallelism=parallelism,
         foldCol="fold",
     )
-    with held(with_fold(train, key, folds)) as rows:
+    with ready(with_fold(train, key, folds)) as rows:
         fitted = validator.fit(rows)
     described = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda i: i[0].name)), float(m))
@@ -199,6 +208,4 @@ def training_history(model: Model) -> DataFrame:
 
 def _driver_rows(rows: list[tuple], schema: str) -> DataFrame:
     """Facts a fitted model already holds on the driver: one per slot or iteration."""
-    from pyspark.sql import SparkSession
-
     return SparkSession.active().createDataFrame(rows, schema)

@@ -105,7 +105,7 @@ def indexed_logistic(learn: DataFrame, max_categories: int = 3) -> PipelineModel
     back = IndexToString(
         inputCol="prediction", outputCol="predicted_label", labels=label_index.labels
     )
-    with train.held(learn) as rows:
+    with train.ready(learn) as rows:
         return Pipeline(stages=[label_index, slots, model, back]).fit(rows)
 
 

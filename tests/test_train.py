@@ -158,6 +158,16 @@ def test_balanced_weights_give_both_classes_the_same_total(spark):
     assert {r.label: round(r.w, 9) for r in out.collect()} == {0: 50.0, 1: 50.0}
 
 
+def test_in_memory_fit_is_the_same_and_releases_the_table(two_classes):
+    df = two_classes.select("id", "a", "b", "label").where("id >= 0")
+    stages = encode.feature_stages([], ["a", "b"])
+    models = [
+        train.fit(df, stages, train.estimator("tree", seed=1), in_memory=kept) for kept in (True, False)
+    ]
+    assert not df.is_cached
+    assert models[0].stages[-1].toDebugString.split("\n")[1:] == models[1].stages[-1].toDebugString.split("\n")[1:]
+
+
 def test_threshold_moves_predictions(two_classes):
     stages = encode.feature_stages([], ["a", "b"])
     counts = []
