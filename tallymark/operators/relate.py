@@ -27,16 +27,18 @@ def mark_in_list(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFram
 def list_flags(lists: DataFrame, first: str, second: str, key: str) -> DataFrame:
     """One row per id with ``in_first`` / ``in_second``.
 
-    ``lists`` holds two unrelated id columns side by side; both are read in one
-    pass and reduced by one shuffle.
+    ``lists`` holds two unrelated id columns side by side.  Each is read on its
+    own, so only its column is scanned; one shuffle of partial results joins them.
     """
-    entries = F.array(
-        F.struct(F.col(first).alias(key), F.lit(True).alias("a"), F.lit(False).alias("b")),
-        F.struct(F.col(second).alias(key), F.lit(False).alias("a"), F.lit(True).alias("b")),
-    )
+
+    def entries(column: str, in_first: bool) -> DataFrame:
+        return lists.where(F.col(column).isNotNull()).select(
+            F.col(column).alias(key), F.lit(in_first).alias("a"), F.lit(not in_first).alias("b")
+        )
+
     return (
-        lists.select(F.inline(entries))
-        .where(F.col(key).isNotNull())
+        entries(first, True)
+        .unionByName(entries(second, False))
         .groupBy(key)
         .agg(F.max("a").alias("in_first"), F.max("b").alias("in_second"))
     )
@@ -47,7 +49,7 @@ def mark_in_lists(
 ) -> DataFrame:
     """Left-join two lists at once; each new column holds the id, or NULL when not listed.
 
-    Both lists come from ``list_flags``, so they are scanned and joined once.
+    Both lists come from ``list_flags``, so they are grouped and joined once.
     """
     marked = df.join(flags.toDF(key, "__a", "__b"), key, "left")
     return marked.select(
