@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, licenses, url_filters
+from tallymark.llm import decontaminate, fingerprints, jaccard, licenses, line_dedup, url_filters
 from tallymark.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(read(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -27,6 +31,19 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fingerprints.edited_pairs(read(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text("chosen").alias("fingerprint"),
+        fingerprints.as_text("edited_chosen").alias("edited_fingerprint"),
+        fingerprints.likeness("chosen", "edited_chosen").alias("near_edited"),
+        fingerprints.likeness("chosen", "next_chosen").alias("near_next"),
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(read(spark, sf_dir, "documents"))
     return found.select(
@@ -41,10 +58,24 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(documents).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_decontamination": op4_decontamination,
+    "op7_fingerprints": op7_fingerprints,
     "op9_license_scan": op9_license_scan,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 # The same places, counted by comparing every 13-word run of every document.
@@ -95,7 +126,31 @@ WITH p AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (host, path)
 """
 
+_OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS MATERIALIZED (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLES = {
+    "op2_jaccard_join": _OP2,
     "op1_url_filters": _OP1,
     "op4_decontamination": _OP4,
 }
