@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, fingerprints, jaccard, licenses, line_dedup, url_filters
+from tallymark.llm import decontaminate, fingerprints, jaccard, licenses, line_dedup, packing, url_filters
 from tallymark.llm.common import read
 
 
@@ -31,6 +32,19 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fingerprints.edited_pairs(read(spark, sf_dir, "documents"))
     return pairs.select(
@@ -73,6 +87,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_decontamination": op4_decontamination,
+    "op5_packing": op5_packing,
     "op7_fingerprints": op7_fingerprints,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
