@@ -41,7 +41,6 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
 )
 MIN_SHARE = 0.75
-ANCHORS = 3
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -67,10 +66,11 @@ def _postings(docs: DataFrame) -> DataFrame:
     )
 
 
-def anchors(docs: DataFrame, known: DataFrame, per_template: int = ANCHORS) -> DataFrame:
-    """The ``per_template`` rarest words of every template, with their offset.
+def anchors(docs: DataFrame, known: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+    """(template, size, off, term): the rarest words of every template and their offsets.
 
-    Rarity is counted over all documents.  Word-for-word templates need one.
+    Rarity is counted over all documents.  One word more is taken than may be
+    missing, so a place that matches has at least one of them.
     """
     vocabulary = known.select(F.explode("words").alias("term")).distinct()
     terms = common.keyed(docs, "text").select(
@@ -82,11 +82,12 @@ def anchors(docs: DataFrame, known: DataFrame, per_template: int = ANCHORS) -> D
     ranked = places.join(counts, "term", "left").select(
         "*", F.struct(F.coalesce("df", F.lit(0)), "off", "term").alias("rarity")
     )
-    wanted = F.when(F.col("base"), 1).otherwise(F.least(F.lit(per_template), F.size("words")))
+    missing = F.size("words") - F.ceil(F.size("words") * min_share).cast("int")
+    wanted = F.when(F.col("base"), 1).otherwise(missing + 1)
     chosen = ranked.groupBy("template").agg(F.sort_array(F.collect_list("rarity")).alias("all"))
     return known.join(chosen, "template").select(
-        *known.columns, F.explode(F.slice("all", F.lit(1), wanted)).alias("anchor")
-    ).select(*known.columns, F.col("anchor")["off"].alias("off"), F.col("anchor")["term"].alias("term"))
+        "template", F.size("words").alias("size"), F.explode(F.slice("all", F.lit(1), wanted)).alias("anchor")
+    ).select("template", "size", "anchor.off", "anchor.term")
 
 
 def matches(docs: DataFrame, known: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
@@ -96,32 +97,30 @@ def matches(docs: DataFrame, known: DataFrame, min_share: float = MIN_SHARE) ->
     phrases need all of them, the others their key phrase and ``min_share``.
     A-Z count as a-z.  Templates may overlap each other and repeat.
     """
-    lifted = anchors(docs, known)
+    lifted = anchors(docs, known, min_share)
     first = F.col("at") - F.col("off")  # place of the template's first word among the pieces
-    found = _postings(docs).join(F.broadcast(lifted), "term").withColumn("first", first)
-    there = F.transform(
-        "words",
-        lambda w, i: F.coalesce(
-            (F.col("first") + i >= 0)
-            & (common.ascii_lower(F.get("own", F.greatest(F.col("first") + i, F.lit(0)))) == w),
-            F.lit(False),
-        ),
-    )
-    return (
-        found.withColumn("there", there)
-        .withColumn("share", F.size(F.filter("there", lambda x: x)) / F.size("words"))
-        .where(F.when(F.col("base"), F.col("share") == 1).otherwise(F.col("share") >= min_share))
-        .where(F.forall(F.slice("there", F.col("key_at") + 1, F.col("key_length")), lambda x: x))
+    placed = (
+        _postings(docs)
+        .join(F.broadcast(lifted), "term")
+        .where(first >= 0)
         .select(
             *common.KEY,
             "template",
-            "label",
-            "base",
-            (F.col("first") - common.empty_first(F.col("own"))).cast("long").alias("start"),
-            "share",
+            (first - common.empty_first(F.col("own"))).cast("long").alias("start"),
+            F.array_join(F.slice("own", first + 1, F.col("size")), " ").alias("there"),
         )
         .distinct()
     )
+    own = F.split(common.ascii_lower(F.col("there")), " ")
+    compared = placed.join(F.broadcast(known), "template").withColumn(
+        "same", F.zip_with(own, "words", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    )
+    return (
+        compared.withColumn("share", F.size(F.filter("same", lambda x: x)) / F.size("words"))
+        .where(F.when(F.col("base"), F.col("share") == 1).otherwise(F.col("share") >= min_share))
+        .where(F.forall(F.slice("same", F.col("key_at") + 1, F.col("key_length")), lambda x: x))
+        .select(*common.KEY, "template", "label", "base", "start", "share")
+    )
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
