@@ -8,7 +8,9 @@ different documents.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,7 +24,20 @@ KEY = ("doc_id", "text_key")
 BROADCAST_ROWS = 100_000
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies on the driver's machine.
+
+    That is enough for local sessions and shared folders; elsewhere submit the
+    package with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    root = str(Path(__file__).resolve().parents[2])
+    environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([root, *filter(None, known)]))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -69,6 +84,14 @@ def n_words(words: Column) -> Column:
     return F.coalesce(F.size(words) - empty_first(words) - last, F.lit(0)).cast("long")
 
 
+def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` with a broadcast hint when a count shows that it is small enough.
+
+    Larger tables are left as they are: the join then shuffles both sides.
+    """
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def blocks(table: DataFrame, key: str, size: int = BROADCAST_ROWS) -> list[DataFrame]:
     """``table`` in parts that are small enough to be broadcast, split by ``key``."""
     n = table.count()
@@ -84,9 +107,10 @@ def _fitting(table: DataFrame, size: int) -> list[DataFrame]:
     return [F.broadcast(table) if table.count() <= size else table]
 
 
-def laid_out(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+def laid_out(rows: DataFrame, order: Sequence[Column], ranges: int | None = None) -> DataFrame:
     """Rows in ranges along ``order``; ``range`` numbers them and does not change."""
-    return reliable_copy(rows.repartitionByRange(*order)).withColumn("range", F.spark_partition_id())
+    spread = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+    return reliable_copy(spread).withColumn("range", F.spark_partition_id())
 
 
 def within_range(order: Sequence[Column]):

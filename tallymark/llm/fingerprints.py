@@ -85,65 +85,79 @@ def likeness(a: str, b: str) -> Column:
     return F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
 
 
-def _next_documents(docs: DataFrame) -> DataFrame:
-    """(key, third, next_id, next_key): the next document by descending doc_id.
-
-    After the last comes the first.  Texts under one id follow each other by
-    their hash, NULL ids come last.  No single task sees all ids: every range
-    takes the document after its last from the range that follows.
+def _order() -> list[Column]:
+    """Descending doc_id, NULL last; texts under one id by their hash."""
+    return [
+        F.col("doc_id").isNull().alias("unknown"),
+        F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("descending"),
+        F.col("text_key"),
+    ]
+
+
+def _with_buckets(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``docs`` in buckets that are stretches of the order, a few per shuffle partition.
+
+    The first document of every bucket is also added, as ``extra``, to the
+    bucket before, and the first of all to the last bucket: so each document's
+    successor is in its bucket.  Only the first keys of the buckets, whose number
+    the settings bound, reach the driver.
     """
-    order = [F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.col("text_key")]
-    light = common.keyed(docs, (F.length("text") / 3).cast("int").alias("third")).distinct()
-    rows = common.laid_out(light, order)
-    this = F.struct(*common.KEY)
-    firsts = rows.groupBy("range").agg(F.min_by(this, F.struct(*order)).alias("first"))
-    # One row per range: the number of partitions bounds this window.
-    ranges = Window.orderBy("range")
-    follows = firsts.select(
-        "range",
-        F.coalesce(
-            F.lead("first").over(ranges),
-            F.first("first").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        ).alias("after"),
-    )
-    lead = F.lead(this).over(common.within_range(order))
-    return (
-        rows.withColumn("lead", lead)
-        .join(F.broadcast(follows), "range")
-        .withColumn("next", F.coalesce("lead", "after"))
-        .select(*common.KEY, "third", F.col("next")["doc_id"].alias("next_id"), F.col("next")["text_key"].alias("next_key"))
-    )
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    light = texts.select(*_order()).distinct()
+    rows = common.laid_out(light, [F.col(c) for c in light.columns], buckets)
+    key = F.struct(*light.columns)
+    firsts = sorted(tuple(r.first) for r in rows.groupBy("range").agg(F.min(key).alias("first")).collect())
+    if not firsts:
+        return docs.withColumns({"bucket": F.lit(0), "extra": F.lit(False)})
+    known = F.array(*[
+        F.struct(F.lit(u).alias("unknown"), F.lit(d).cast("long").alias("descending"), F.lit(t).cast("long").alias("text_key"))
+        for u, d, t in firsts
+    ])
+    own = F.struct(*_order())
+    number = F.size(F.filter(known, lambda first: first <= own)) - 1
+    placed = docs.withColumn("number", number).withColumn("is_first", F.array_contains(known, own))
+    before = F.pmod(F.col("number") - 1, F.lit(len(firsts)))
+    return placed.withColumn(
+        "place",
+        F.explode(F.array(
+            F.struct(F.col("number").alias("bucket"), F.lit(False).alias("extra")),
+            F.when(F.col("is_first"), F.struct(before.alias("bucket"), F.lit(True).alias("extra"))),
+        )),
+    ).where("place IS NOT NULL").select(*docs.columns, "place.bucket", "place.extra")
 
 
 def edited_pairs(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
     """Every text, its edited text and the next text, with their chosen hashes.
 
     In the edited text the last third (rounded down) gives way to as many
-    characters, or all, of the next document's beginning.  NULL texts are empty;
-    an empty text's edited text is empty.  Columns: doc_id, text, edited,
-    chosen, edited_chosen, next_chosen.  Every row of ``docs`` gives one row.
+    characters, or all, of the next document's beginning.  The next document is
+    that of the next smaller doc_id; texts under one id follow each other by
+    their hash, NULL ids come last, and after the last comes the first.  A row
+    that repeats id and text follows its like.  NULL texts are empty; an empty
+    text's edited text is empty.  Columns: doc_id, text, edited, chosen,
+    edited_chosen, next_chosen.  Every row of ``docs`` gives one row.
     """
     texts = common.keyed(
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text"
-    )
-    full = with_chosen(texts, "text", "chosen", k, window)
-    follows = _next_documents(texts)
-    begins = full.alias("n").join(
-        follows.alias("f"),
-        F.col("n.doc_id").eqNullSafe(F.col("f.next_id")) & (F.col("n.text_key") == F.col("f.next_key")),
-    ).select(
-        F.col("f.doc_id").alias("for_id"),
-        F.col("f.text_key").alias("for_key"),
-        F.substring("n.text", F.lit(1), F.col("f.third")).alias("begin"),
-        "third",
-        F.col("n.chosen").alias("next_chosen"),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), "text"
     )
-    if not texts.groupBy(*common.KEY).count().where("count > 1").isEmpty():
-        begins = begins.dropDuplicates(["for_id", "for_key"])
-    both = full.join(
-        begins,
-        full["doc_id"].eqNullSafe(begins["for_id"]) & (full["text_key"] == begins["for_key"]),
+    full = _with_buckets(with_chosen(texts, "text", "chosen", k, window), texts)
+    along = Window.partitionBy("bucket").orderBy("extra", *_order())
+    third = (F.length("text") / 3).cast("int")
+    paired = full.select(
+        "doc_id",
+        "text",
+        "chosen",
+        "extra",
+        F.lead("text").over(along).alias("next"),
+        F.lead("chosen").over(along).alias("next_chosen"),
+    ).where(~F.col("extra"))
+    joined = paired.select(
+        "doc_id",
+        "text",
+        F.concat(
+            F.substring("text", F.lit(1), F.length("text") - third), F.substring("next", F.lit(1), third)
+        ).alias("edited"),
+        "chosen",
+        "next_chosen",
     )
-    kept = F.substring("text", F.lit(1), F.length("text") - F.col("third"))
-    joined = both.select("doc_id", "text", F.concat(kept, "begin").alias("edited"), "chosen", "next_chosen")
     return with_chosen(joined, "edited", "edited_chosen", k, window)

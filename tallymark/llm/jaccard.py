@@ -7,9 +7,10 @@ the others go by their hash.  A candidate must then also share a leading token
 under two further orders before its sets are intersected.
 
 Equal sets are one node, so copies cost nothing.  The nodes that share a leading
-token are first compared with two of them only; what that links is one
-component.  Other pairs are made only between different components that still
-share a token.  No link is lost: a pair that is skipped lies in one component.
+token are first compared with two of them only, one of them in the middle of its
+family; what that links is one component.  Other pairs are made only between
+different components that still share a token at places that allow enough common
+tokens.  No link is lost: a pair that is skipped lies in one component.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from tallymark.session import reliable_copy
 PERCENT = 80
 
 # A token seen in so many different sets of one block of tokens may be frequent.
-_SEEN = 4
+_SEEN = 2
 _BLOCK = 4_000_000
 # So many frequent tokens at most are put last; the order of the others is their hash.
-FREQUENT = 65_536
+FREQUENT = 1_000_000
 # Rows of frequent tokens are spread over so many tasks.
 _SPREAD = 16
 
@@ -101,8 +102,12 @@ def _frequent(described: DataFrame) -> np.ndarray:
 
 
 def _first_tokens(frequent: np.ndarray, k: int, percent: int):
-    """(token, node, n, spread): the leading tokens of every set under the first order."""
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("spread", pa.int32())])
+    """(token, node, n, place, spread): the leading tokens of every set under the first order.
+
+    ``place`` counts from 1.  Frequent tokens have a number to spread their rows by.
+    """
+    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32()),
+                        ("spread", pa.int32())])
     by_value = np.argsort(frequent)
     known = frequent[by_value]
 
@@ -136,9 +141,10 @@ def _first_tokens(frequent: np.ndarray, k: int, percent: int):
                     [pa.array(np.concatenate([p[0] for p in parts]).view(np.int64)),
                      pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), sizes)),
                      pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), sizes)),
+                     pa.array(np.concatenate([np.arange(1, size + 1, dtype=np.int32) for size in sizes])),
                      pa.array(np.concatenate([p[3] for p in parts]))], schema=schema)
 
-    return run, "token long, node long, n int, spread int"
+    return run, "token long, node long, n int, place int, spread int"
 
 
 def _sets(k: int):
@@ -194,15 +200,36 @@ def _linked(percent: int):
     return run, "a long, b long"
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar enough."""
+def _verified(pairs: DataFrame, texts: DataFrame, holders: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar enough.
+
+    Sets are made anew for the nodes that occur in a pair, each from one text.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    keys = reliable_copy(holders.join(nodes, "node", "left_semi").select("text_key").distinct())
+    wanted = common.broadcast_if_small(keys)
+    sets = (
+        texts.join(wanted, "text_key", "left_semi")
+        .dropDuplicates(["text_key"])
+        .select("text")
+        .mapInArrow(*_sets(k))
+    )
+    sets = reliable_copy(sets)
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(*_linked(percent))
 
 
-def _similar_size(percent: int):
-    return (100 * F.col("n") >= percent * F.col("m")) & (100 * F.col("m") >= percent * F.col("n"))
+def _possible(percent: int):
+    """Whether sets of n and m tokens with a common token at these places may be similar.
+
+    Holds for the first common token of every similar pair: what stands before
+    it is not shared, so at most the smaller rest is.
+    """
+    needed = percent * (F.col("n") + F.col("m"))
+    return ((100 + percent) * (F.col("n") - F.col("place") + 1) >= needed) & (
+        (100 + percent) * (F.col("m") - F.col("place2") + 1) >= needed
+    )
 
 
 def links(docs: DataFrame, described: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -215,55 +242,53 @@ def links(docs: DataFrame, described: DataFrame, k: int = K, percent: int = PERC
         .withColumn("low", F.expr("min(node) OVER (PARTITION BY token, spread)"))
         .withColumn("high", F.expr("max(node) OVER (PARTITION BY token, spread)"))
         .where("low < high OR spread >= 0")
-        .select("token", "node", "n")
+        .select("token", "node", "n", "place")
         .distinct()
     )
     groups = reliable_copy(shared)
-    ends = groups.groupBy("token").agg(
-        F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high")
-    ).where(F.col("low")["node"] < F.col("high")["node"])
-    with_ends = groups.join(ends, "token")
+    # Texts near the middle of a family of copies have most of their tokens in common.
+    weights = groups.groupBy("node").agg(F.count("*").alias("weight"))
+    weighed = groups.join(weights, "node")
+    member = F.struct("weight", "node", "n", "place")
+    middles = weighed.groupBy("token").agg(
+        F.max(member).alias("middle"), F.min(F.struct("node", "n", "place")).alias("other")
+    )
+    end = F.explode(F.array(F.struct("middle.node", "middle.n", "middle.place"), "other"))
     first_pairs = (
-        with_ends.select("node", "n", F.explode(F.array("low", "high")).alias("end"))
-        .where(F.col("node") != F.col("end")["node"])
-        .withColumn("m", F.col("end")["n"])
-        .where(_similar_size(percent))
-        .select(
-            F.least("node", F.col("end")["node"]).alias("a"),
-            F.greatest("node", F.col("end")["node"]).alias("b"),
-        )
+        groups.join(middles, "token")
+        .select("node", "n", "place", end.alias("end"))
+        .where(F.col("node") != F.col("end.node"))
+        .withColumns({"m": F.col("end.n"), "place2": F.col("end.place")})
+        .where(_possible(percent))
+        .select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b"))
         .distinct()
     )
     first_pairs = reliable_copy(first_pairs)
-    nodes = groups.select("node").distinct()
-    holders = described.where("node IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(
-        F.min("text_key").alias("text_key"))
-    keys = reliable_copy(holders.select("text_key").distinct())
-    wanted = F.broadcast(keys) if keys.count() <= common.BROADCAST_ROWS else keys
-    sets = reliable_copy(
-        texts.join(wanted, "text_key", "left_semi").select("text").mapInArrow(*_sets(k))
-        .dropDuplicates(["node"])
+    holders = reliable_copy(
+        described.where("node IS NOT NULL").groupBy("node").agg(F.min("text_key").alias("text_key"))
     )
-    first = reliable_copy(_verified(first_pairs, sets, percent))
+    first = reliable_copy(_verified(first_pairs, texts, holders, k, percent))
     known = components(first)
     placed = groups.join(known, "node", "left").select(
-        "token", "node", "n", F.coalesce("component", "node").alias("component")
+        "token", "node", "n", "place", F.coalesce("component", "node").alias("component")
     )
     open_tokens = placed.groupBy("token").agg(
         F.min("component").alias("c"), F.max("component").alias("d")
     ).where("c < d").select("token")
     still = reliable_copy(placed.join(open_tokens, "token", "left_semi"))
-    one = still.select("token", F.col("node").alias("a"), "n", F.col("component").alias("c"))
-    other = still.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("d"))
+    one = still.select("token", F.col("node").alias("a"), "n", "place", F.col("component").alias("c"))
+    other = still.select(
+        "token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("place2"),
+        F.col("component").alias("d"),
+    )
     rest = (
         one.join(other, "token")
-        .where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")))
-        .where(_similar_size(percent))
+        .where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _possible(percent))
         .select("a", "b")
         .distinct()
         .join(first_pairs, ["a", "b"], "left_anti")
     )
-    return first.unionByName(_verified(rest, sets, percent))
+    return first.unionByName(_verified(reliable_copy(rest), texts, holders, k, percent))
 
 
 def _placed(docs: DataFrame, k: int, percent: int) -> DataFrame:

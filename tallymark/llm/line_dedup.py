@@ -21,6 +21,9 @@ from tallymark.session import reliable_copy
 
 MIN_WORDS = 5
 
+# Line numbers that may be broadcast: 4 bytes each, and a key for every document.
+BROADCAST_LINES = 4_000_000
+
 _HASH_BITS = 40  # sums of up to 2**23 such hashes fit a long
 _PLACE = ("doc_id", "text_key", "no")
 
@@ -48,112 +51,148 @@ def _long_lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def _halves(normal: Column, n: Column) -> Column:
-    """Keys of the first and last half, for partners with as many words or one fewer or more."""
+    """(half, last, h): keys of the first and last ``h`` words of a line.
+
+    A partner may have as many words, one fewer or one more, so ``h`` follows
+    from the length of the shorter of the two: at most half of it.
+    """
     keys = []
     for m in (n, n - 1):
         h = F.call_function("shiftleft", F.lit(1), (F.floor(F.log2(m)) - 1).cast("int"))
-        keys.append(F.xxhash64(F.lit("first"), h, F.call_function("substring_index", normal, F.lit(" "), h)))
-        keys.append(F.xxhash64(F.lit("last"), h, F.call_function("substring_index", normal, F.lit(" "), -h)))
+        for last, count in ((False, h), (True, -h)):
+            part = F.call_function("substring_index", normal, F.lit(" "), count)
+            keys.append(F.struct(F.xxhash64(F.lit(last), h, part).alias("half"), F.lit(last).alias("last"), h.alias("h")))
     return F.array_distinct(F.array(*keys))
 
 
 def first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, no, halves): the earliest place of every distinct line.
+    """(line, doc_id, text_key, no, halves): the earliest place of every distinct line.
 
     Earlier is the smaller doc_id (NULL last), then the text's hash, then the
-    line number.  Distinct lines are told apart by 128 bits of hash.
+    line number.  Distinct lines are told apart by 128 bits of hash; ``line`` is
+    half of them.
     """
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), *_PLACE)
     normal = F.col("normal")
     return (
         _long_lines(docs, min_words)
         .select(
-            F.xxhash64(normal).alias("k1"),
-            F.xxhash64(F.lit(1), normal).alias("k2"),
+            F.xxhash64(normal).alias("line"),
+            F.xxhash64(F.lit(1), normal).alias("line2"),
             place.alias("place"),
             _halves(normal, F.col("n")).alias("halves"),
         )
-        .groupBy("k1", "k2")
+        .groupBy("line", "line2")
         .agg(F.min(F.struct("place", "halves")).alias("first"))
-        .select("first.place.doc_id", "first.place.text_key", "first.place.no", "first.halves")
+        .select("line", "first.place.doc_id", "first.place.text_key", "first.place.no", "first.halves")
     )
 
 
 def _with_partner(firsts: DataFrame) -> DataFrame:
-    """Places of the lines that share a half with another line."""
-    halves = firsts.select(*_PLACE, F.explode("halves").alias("half"))
+    """(doc_id, text_key, no, first_h, last_h): lines that share a half with another line.
+
+    ``first_h`` and ``last_h`` are the shortest first and last parts shared, NULL
+    where none is: an edit lies behind the one or before the other.
+    """
+    halves = firsts.select("line", F.explode("halves").alias("x")).select("line", "x.half", "x.last", "x.h")
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    return halves.join(shared, "half", "left_semi").select(*_PLACE).distinct()
+    lines = halves.join(shared, "half", "left_semi").groupBy("line").agg(
+        F.min(F.when(~F.col("last"), F.col("h"))).alias("first_h"),
+        F.min(F.when(F.col("last"), F.col("h"))).alias("last_h"),
+    )
+    return firsts.drop("halves").join(lines, "line").drop("line")
 
 
 def _their_words(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, doc_id, text_key, no, words): the lines at ``places``, ids in order of place."""
-    lists = reliable_copy(places.groupBy(*common.KEY).agg(F.collect_list("no").alias("nos")))
-    wanted = F.broadcast(lists) if lists.count() <= common.BROADCAST_ROWS else lists
+    """(id, doc_id, text_key, no, words, first_h, last_h), ids in order of place."""
+    line = F.struct("no", "first_h", "last_h")
+    lists = reliable_copy(places.groupBy(*common.KEY).agg(F.collect_list(line).alias("wanted")))
+    wanted = common.broadcast_if_small(lists)
     texts = common.keyed(docs, "text")
     lines = (
         texts.join(wanted, common.same_document(texts, wanted))
-        .select(texts["doc_id"], texts["text_key"], F.split("text", "\n").alias("lines"), "nos")
-        .select(*common.KEY, "lines", F.explode("nos").alias("no"))
-        .select(*_PLACE, F.split(normal_form(F.get("lines", F.col("no"))), " ").alias("words"))
+        .select(texts["doc_id"], texts["text_key"], F.split("text", "\n").alias("lines"), "wanted")
+        .select(*common.KEY, "lines", F.explode("wanted").alias("x"))
+        .select(
+            *common.KEY,
+            "x.no",
+            F.split(normal_form(F.get("lines", F.col("x.no"))), " ").alias("words"),
+            "x.first_h",
+            "x.last_h",
+        )
         .dropDuplicates(list(_PLACE))
     )
     order = [F.col("doc_id").isNull(), *map(F.col, _PLACE)]
     number = F.row_number().over(common.within_range(order))
-    return common.laid_out(lines, order).select(
-        (F.shiftleft(F.col("range").cast("long"), 40) + number).alias("id"), *_PLACE, "words"
+    return reliable_copy(
+        common.laid_out(lines, order).select(
+            (F.call_function("shiftleft", F.col("range").cast("long"), F.lit(40)) + number).alias("id"),
+            *_PLACE,
+            "words",
+            "first_h",
+            "last_h",
+        )
     )
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """(id, n, h1, h2, cut): each line whole (cut 0) and without its word ``cut``.
+    """(key, cut, id): each line whole (cut 0) and without its word ``cut``.
 
-    The hash of a word sequence is the sum of the hashes of (word, place), kept
-    twice with different hashes; leaving a word out moves the later places by one.
+    The hash of a word sequence is made from the sums of the hashes of (word,
+    place), two of them; leaving a word out moves the later places by one.  Cuts
+    inside a part that the line shares with its only possible partners are left out.
     """
     modulus = F.lit(1 << _HASH_BITS)
-    spread = lines.select("id", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
-    columns = {}
-    for name, parts in (("1", ("word", "at")), ("2", ("at", "word"))):
-        columns[f"stay{name}"] = F.pmod(F.xxhash64(*parts), modulus)
-        moved = [F.col("at") - 1 if p == "at" else F.col(p) for p in parts]
-        columns[f"move{name}"] = F.pmod(F.xxhash64(*moved), modulus)
-    hashed = spread.select("id", "n", "at", *[c.alias(k) for k, c in columns.items()])
+    words = lines.select("id", "first_h", "last_h", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+    spread = words.select("id", "n", "at", "first_h", "last_h", F.xxhash64("word").alias("w")).repartition("id")
+    hashed = spread.select(
+        "*",
+        *[F.pmod(F.xxhash64(F.lit(x), "w", "at"), modulus).alias(f"stay{x}") for x in (1, 2)],
+        *[F.pmod(F.xxhash64(F.lit(x), "w", F.col("at") - 1), modulus).alias(f"move{x}") for x in (1, 2)],
+    )
     line = Window.partitionBy("id")
     along = line.orderBy("at")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     none = F.lit(0).cast("long")
-    cut = [
-        (F.coalesce(F.sum(f"stay{x}").over(before), none)
-         + F.sum(f"move{x}").over(line)
-         - F.sum(f"move{x}").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias(f"h{x}")
-        for x in "12"
-    ]
-    without = hashed.select("id", (F.col("n") - 1).alias("n"), *cut, (F.col("at") + 1).alias("cut"))
-    whole = hashed.groupBy("id", "n").agg(F.sum("stay1").alias("h1"), F.sum("stay2").alias("h2")).withColumn(
-        "cut", F.lit(0)
+    sums = hashed.select(
+        "id",
+        "n",
+        (F.col("at") + 1).alias("cut"),
+        "first_h",
+        "last_h",
+        *[
+            (F.coalesce(F.sum(f"stay{x}").over(before), none)
+             + F.sum(f"move{x}").over(line) - F.sum(f"move{x}").over(upto)).alias(f"without{x}")
+            for x in (1, 2)
+        ],
+        *[F.sum(f"stay{x}").over(line).alias(f"whole{x}") for x in (1, 2)],
+    )
+    wanted = (F.col("cut") > F.col("first_h")) | (F.col("cut") <= F.col("n") - F.col("last_h"))
+    shortened = F.struct(F.xxhash64(F.col("n") - 1, "without1", "without2").alias("key"), "cut")
+    whole = F.struct(F.xxhash64("n", "whole1", "whole2").alias("key"), F.lit(0).alias("cut"))
+    rows = F.array(
+        F.when(F.coalesce(wanted, F.lit(False)), shortened), F.when(F.col("cut") == 1, whole)
     )
-    return without.unionByName(whole)
+    return sums.select("id", F.explode(rows).alias("x")).where("x IS NOT NULL").select("x.key", "x.cut", "id")
 
 
 def _earlier_partner(keys: DataFrame) -> DataFrame:
     """(id, partner): the earliest line with an equal variant, where it comes before."""
-    by = ["n", "h1", "h2"]
-    cuts = keys.groupBy(*by, "cut").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    lengths = cuts.groupBy(*by).agg(
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = reliable_copy(keys.join(shared, "key", "left_semi"))
+    cuts = met.groupBy("key", "cut").agg(F.min("id").alias("low"))
+    lengths = cuts.groupBy("key").agg(
         F.min(F.when(F.col("cut") == 0, F.col("low"))).alias("whole"),
         F.min(F.when(F.col("cut") > 0, F.col("low"))).alias("shortened"),
-        F.count("*").alias("kinds"),
     )
-    met = cuts.join(lengths.where("whole IS NOT NULL AND kinds > 1"), by, "left").where(
-        "(cut > 0 AND low < high) OR kinds > 1"
-    ).select(
-        *by,
+    best = cuts.join(lengths, "key").select(
+        "key",
         "cut",
         F.when(F.col("cut") == 0, F.col("shortened")).otherwise(F.least("low", "whole")).alias("partner"),
     )
     return (
-        keys.join(met, [*by, "cut"])
+        met.join(best, ["key", "cut"])
         .where(F.col("partner") < F.col("id"))
         .groupBy("id")
         .agg(F.min("partner").alias("partner"))
@@ -175,8 +214,7 @@ def within_one_edit(x: str, y: str) -> Column:
 def near_copies(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """Places of distinct lines that are one edit away from an earlier distinct line."""
     lines = _their_words(docs, _with_partner(firsts))
-    keys = reliable_copy(variants(lines))
-    met = _earlier_partner(keys)
+    met = _earlier_partner(variants(lines))
     x = lines.select("id", *_PLACE, F.col("words").alias("x"))
     y = lines.select(F.col("id").alias("partner"), F.col("words").alias("y"))
     return met.join(x, "id").join(y, "partner").where(within_one_edit("x", "y")).select(*_PLACE)
@@ -190,7 +228,9 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True) -
         gone = near_copies(docs, firsts)
         same = common.same_document(stay, gone) & (stay["no"] == gone["no"])
         stay = stay.join(gone, same, "left_anti")
-    return stay.groupBy(*common.KEY).agg(F.collect_list("no").alias("nos"))
+    lists = reliable_copy(stay.groupBy(*common.KEY).agg(F.collect_list("no").alias("nos")))
+    numbers = lists.agg(F.sum(F.size("nos"))).first()[0] or 0
+    return F.broadcast(lists) if numbers <= BROADCAST_LINES else lists
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True) -> DataFrame:
