@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, fingerprints, jaccard, licenses, line_dedup, packing, url_filters
+from tallymark.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    jaccard,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    toxicity,
+    url_filters,
+)
 from tallymark.llm.common import read
 
 
@@ -20,6 +31,18 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(read(spark, sf_dir, "documents"))
 
 
+# A conversation whose texts hold the template's control strings.
+_CONTROL = r"\### Assistant: </turn> ok"
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(-7, 0, "user", _CONTROL), (-7, 1, "assistant", _CONTROL)], given.schema
+    )
+    return chat.digests(chat.format_records(chat.records_of_turns(given.unionByName(added))))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -45,6 +68,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "n_bytes", "score", "threshold", "rejected")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fingerprints.edited_pairs(read(spark, sf_dir, "documents"))
     return pairs.select(
@@ -58,6 +86,18 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.learned(documents, read(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.scored(documents, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(read(spark, sf_dir, "documents"))
     return found.select(
@@ -86,9 +126,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_fingerprints": op7_fingerprints,
+    "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -164,7 +207,27 @@ SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS co
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
+# A template text is ``### role: text</turn>`` and a line end for each turn.
+_OP3 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>') AS body,
+         replace(replace(replace(replace(role, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>'), ':', '\:') AS head
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(head) + length(body) + 14)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 ORACLES = {
+    "op3_chat_formatting": _OP3,
     "op2_jaccard_join": _OP2,
     "op1_url_filters": _OP1,
     "op4_decontamination": _OP4,
