@@ -17,10 +17,22 @@ def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def r_squared(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: share of the label's variance that the prediction explains."""
+    """One row: share of the label's variance that the prediction explains.
+
+    Rows without a label or a prediction are left out (``unpredicted`` counts
+    them); NULL when the labels of the others are all equal.
+    """
+    known = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     error = F.col(label) - F.col(prediction)
+    spread = F.nullif(F.var_pop(label) * F.count(label), F.lit(0.0))
+    return known.agg((1 - F.sum(error * error) / spread).alias("r2"))
+
+
+def unpredicted(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """One row: how many labelled rows have no prediction, and how many no label."""
     return df.agg(
-        (1 - F.sum(error * error) / (F.var_pop(label) * F.count(label))).alias("r2")
+        F.count_if(F.col(label).isNotNull() & F.col(prediction).isNull()).alias("n_unpredicted"),
+        F.count_if(F.col(label).isNull()).alias("n_unlabelled"),
     )
 
 
@@ -36,15 +48,27 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def confusion_table(df: DataFrame, label: str, prediction: str, classes: list[float]) -> DataFrame:
-    """One row per label with a count column per listed class."""
+    """One row per label with a count column per listed class, and ``other``.
+
+    ``other`` counts the rows whose prediction is missing or not listed.
+    """
     cells = confusion(df, label, prediction)
-    counts = cells.groupBy("label").pivot("prediction", classes).agg(F.sum("n"))
-    return counts.na.fill(0)
+    listed = F.coalesce(F.col("prediction").isin(list(classes)), F.lit(False))
+    counts = [
+        F.coalesce(F.sum(F.when(F.col("prediction") == c, F.col("n"))), F.lit(0)).alias(str(c))
+        for c in classes
+    ]
+    other = F.coalesce(F.sum(F.when(~listed, F.col("n"))), F.lit(0)).alias("other")
+    return cells.groupBy("label").agg(*counts, other)
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: share of rows predicted right, and the rest."""
-    right = F.avg((F.col(label) == F.col(prediction)).cast("double"))
+    """One row: share of labelled rows predicted right, and the rest.
+
+    A row without a prediction is not right.
+    """
+    same = F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("double")
+    right = F.avg(F.when(F.col(label).isNotNull(), same))
     return df.agg(right.alias("accuracy")).withColumn("test_error", 1 - F.col("accuracy"))
 
 
@@ -124,10 +148,11 @@ def operating_points(df: DataFrame, label: str, score: str, bin_width: float | N
     threshold, ``tp_all`` and ``fp_all`` all of them.  Rows are reduced to one
     per score before anything is ordered, and the ordering is spread over
     ranges.  ``bin_width`` bounds the number of points when a reading of every
-    distinct score is not needed.
+    distinct score is not needed.  Rows without a label or a score are left out.
     """
     threshold = binned(score, bin_width) if bin_width else F.col(score)
-    points = df.groupBy(threshold.cast("double").alias("threshold")).agg(
+    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    points = known.groupBy(threshold.cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     sums = {"tp": F.col("pos"), "fp": F.col("neg")}
@@ -150,14 +175,14 @@ def roc_curve(points: DataFrame) -> DataFrame:
 
 
 def auc(points: DataFrame) -> DataFrame:
-    """One row: area under the ROC curve by the trapezoid rule.
+    """One row: area under the ROC curve by the trapezoid rule; NULL for one class.
 
     A step from the previous point is ``neg`` wide and its mean height is
     ``tp - pos / 2``, so no row needs to see its neighbour.
     """
     area = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2))
     whole = F.max("tp_all").cast("double") * F.max("fp_all")
-    return points.agg((area / whole).alias("auc"))
+    return points.agg((area / F.nullif(whole, F.lit(0.0))).alias("auc"))
 
 
 def pr_curve(points: DataFrame) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import text
-from tallymark.operators.ordered import running_sums
 from tallymark.operators.shape import text_columns
 
 
@@ -85,122 +86,128 @@ def _value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame
     )
 
 
-_SKETCH = 10_000  # the rank of a sketched quantile is off by at most rows / _SKETCH
+_BUCKETS = 1024  # parts that a range of values is cut into per pass
+_LIST = 10_000  # rows of a range whose values are listed
 
 
-def _brackets(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[tuple[float, float]]]:
-    """Disjoint value intervals per column that must hold the wanted quantiles.
+@dataclass(frozen=True)
+class _Range:
+    """Values from ``low`` to ``high``, both of which occur; ``before`` rows are smaller."""
 
-    One pass of mergeable sketches; two numbers per quantile reach the driver.
-    A column with few values keeps them all: there the margin would be less
-    than the step from one rank to the next.
-    """
-    margin = 4 / _SKETCH
-    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)]
-    sketched = df.agg(
-        *[
+    column: int
+    low: float
+    high: float
+    before: int
+    rows: int
+
+    def holds(self, rank: int) -> bool:
+        return self.before <= rank < self.before + self.rows
+
+    @property
+    def settled(self) -> bool:
+        return self.low == self.high
+
+    def bucket(self, value: Column) -> Column:
+        """Equal parts of the finite range; infinities have parts of their own."""
+        low = max(self.low, -_LARGEST)
+        high = min(self.high, _LARGEST)
+        half = 0.5 if math.isinf(high - low) else 1.0
+        width = high * half - low * half
+        share = (value * half - F.lit(low * half)) / F.lit(width) if width > 0 else F.lit(0.0)
+        inside = F.least(F.floor(share * _BUCKETS), F.lit(_BUCKETS - 1))
+        return F.when(value < low, -1).when(value > high, _BUCKETS).otherwise(inside).cast("int")
+
+
+_LARGEST = sys.float_info.max
+
+
+def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    numbers = {str(i): F.col(c).cast("double") for c, i in _number(columns).items()}
+    return df.select(*[F.when(~F.isnan(v), v).alias(n) for n, v in numbers.items()])
+
+
+def _within(present: DataFrame, ranges: Sequence[_Range], part: Callable[[_Range, Column], Column]) -> DataFrame:
+    """(range, value, part): the cells that lie in one of ``ranges``."""
+    cells = [
+        F.when(
+            F.col(str(r.column)).between(r.low, r.high),
             F.struct(
-                F.count(c).alias("n"),
-                F.percentile_approx(F.col(c).cast("double"), edges, _SKETCH).alias("edges"),
-            ).alias(str(i))
-            for c, i in _number(columns).items()
-        ]
-    ).first()
-    found: dict[str, list[tuple[float, float]]] = {}
-    for c, sketch in zip(columns, sketched):
-        if sketch.n <= 2 * _SKETCH:
-            found[c] = [(-math.inf, math.inf)]
-            continue
-        found[c] = []
-        for low, high in sorted(zip(sketch.edges[::2], sketch.edges[1::2])):
-            if found[c] and low <= found[c][-1][1]:
-                start, end = found[c].pop()
-                low, high = start, max(end, high)
-            found[c].append((low, high))
-    return found
+                F.lit(i).alias("range"),
+                F.col(str(r.column)).alias("value"),
+                part(r, F.col(str(r.column))).alias("part"),
+            ),
+        )
+        for i, r in enumerate(ranges)
+    ]
+    return present.select(F.explode(F.array(*cells)).alias("cell")).where("cell IS NOT NULL").select("cell.*")
 
 
-def _bracketed(column: int, value: Column, brackets: Sequence[tuple[float, float]]) -> Column:
-    """Place of a value: inside a bracket by itself, outside only by its gap."""
-    segment = F.when(value.isNull(), None)
-    for i, (low, high) in enumerate(brackets):
-        segment = segment.when(value < low, 2 * i).when(value <= high, 2 * i + 1)
-    segment = segment.otherwise(2 * len(brackets))
-    return F.struct(
-        F.lit(column).alias("column"),
-        segment.alias("segment"),
-        F.when(segment % 2 == 1, value).alias("value"),
+def _narrowed(present: DataFrame, ranges: Sequence[_Range], ranks: Mapping[int, set[int]]) -> list[_Range]:
+    """Each range cut into parts; those that hold a wanted rank."""
+    counted = _within(present, ranges, lambda r, v: r.bucket(v)).groupBy("range", "part").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
     )
+    before = {i: r.before for i, r in enumerate(ranges)}
+    found = []
+    for row in sorted(counted.collect(), key=lambda row: (row["range"], row.part)):
+        i = row["range"]
+        part = _Range(ranges[i].column, row.low, row.high, before[i], row.rows)
+        before[i] += row.rows
+        if any(part.holds(rank) for rank in ranks[part.column]):
+            found.append(part)
+    return found
 
 
-def _between(pick: Column) -> Column:
-    low, high, part = (pick.getField(n) for n in ("low", "high", "part"))
-    lost = F.raise_error(F.lit("a quantile fell outside its sketched bracket"))
-    return F.when(low.isNotNull() & high.isNotNull(), low + part * (high - low)).otherwise(lost)
+def _listed(present: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
+    """Every distinct value of short ranges as a range of its own."""
+    counted = _within(present, ranges, lambda r, v: F.lit(0)).groupBy("range", "value").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    before = {i: r.before for i, r in enumerate(ranges)}
+    found = []
+    for row in sorted(counted.collect(), key=lambda row: (row["range"], row.value)):
+        i = row["range"]
+        found.append(_Range(ranges[i].column, row.value, row.value, before[i], row.rows))
+        before[i] += row.rows
+    return found
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """(column, probability, value): exact, linearly interpolated quantiles.
 
-    NULL and NaN are left out.  Built-in exact percentiles keep a map of all
-    distinct values in one task.  Here a first pass brackets each quantile by a
-    sketch with a guaranteed rank error.  A second pass keeps the values inside
-    the brackets and merely counts the rest, so about 0.1 % of the rows are
-    shuffled per quantile; their ranks are found by range.
+    NULL and NaN are left out; a column without values has no rows.  Nothing is
+    sorted or shuffled but counts: every pass over the table cuts the ranges of
+    values that hold a wanted rank into parts, counts the rows of each, and goes
+    on with the parts that hold the rank, until a part has one value or a few
+    thousand rows, whose values are then listed.  Some thousand rows per
+    quantile reach the driver, whatever the size of the table.
     """
-    present = df.select(
-        *[
-            F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
-            for c in columns
-        ]
-    )
-    brackets = _brackets(present, columns, probabilities)
-    cells = F.array(
-        *[_bracketed(i, F.col(c), brackets[c]) for c, i in _number(columns).items()]
-    )
-    counts = (
-        present.select(F.inline(cells))
-        .where(F.col("segment").isNotNull())
-        .groupBy("column", "segment", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranks = [(F.col("end_all") - 1) * F.lit(float(p)) for p in probabilities]
-
-    def holds(start: Column, end: Column, rank: Column) -> Column:
-        return (start <= rank) & (rank < end)
-
-    def wanted() -> Column:
-        start, end = F.col("end_before"), F.col("end_before") + F.col("end_range")
-        tests = [holds(start, end, f(rank)) for rank in ranks for f in (F.floor, F.ceil)]
-        return reduce(lambda left, right: left | right, tests)
-
-    order = [F.col("segment"), F.col("value")]
-    placed = running_sums(counts, order, {"end": F.col("n")}, "column", wanted)
-
-    def at(rank: Column) -> Column:
-        inside = holds(F.col("end") - F.col("n"), F.col("end"), rank)
-        return F.max(F.when(inside, F.col("value")))
-
-    picks = [
-        F.struct(
-            at(F.floor(rank)).alias("low"),
-            at(F.ceil(rank)).alias("high"),
-            F.max(rank - F.floor(rank)).alias("part"),
-        ).alias(f"p{i}")
-        for i, rank in enumerate(ranks)
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("probability"), _between(F.col(f"p{i}")).alias("value")
-            )
-            for i, p in enumerate(probabilities)
-        ]
-    )
-    picked = placed.groupBy("column").agg(*picks).select("column", F.inline(rows))
-    return _named(picked, columns, ["probability", "value"])
+    present = _present(df, columns)
+    sums = present.agg(
+        *[F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in present.columns]
+    ).first()
+    whole = {i: sums[str(i)] for i in range(len(columns)) if sums[str(i)].n}
+    wanted = {i: [(row.n - 1) * float(p) for p in probabilities] for i, row in whole.items()}
+    ranks = {i: {f(rank) for rank in rows for f in (math.floor, math.ceil)} for i, rows in wanted.items()}
+    pending = [_Range(i, row.low, row.high, 0, row.n) for i, row in whole.items()]
+    settled: list[_Range] = []
+    while pending:
+        settled += [r for r in pending if r.settled]
+        short = [r for r in pending if not r.settled and r.rows <= _LIST]
+        long = [r for r in pending if not r.settled and r.rows > _LIST]
+        if short:
+            settled += _listed(present, short)
+        pending = _narrowed(present, long, ranks) if long else []
+
+    def at(column: int, rank: int) -> float:
+        return next(r.low for r in settled if r.column == column and r.holds(rank))
+
+    rows = []
+    for i, places in wanted.items():
+        for p, rank in zip(probabilities, places):
+            low, high = at(i, math.floor(rank)), at(i, math.ceil(rank))
+            rows.append((columns[i], float(p), low if low == high else low + (rank - math.floor(rank)) * (high - low)))
+    return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,47 +11,62 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_DIGITS = 8  # hex digits of the digest that decide: steps of 1 / 2**32
+_DIGITS = 8  # hex digits of the digest that decide
+_STEPS = 16**_DIGITS
+_MISSING = "\u0000"  # stands for NULL in a key
 
 
-def digest(key: str | Sequence[str], salt: str = "") -> Column:
-    """First digits of the MD5 of the key's text; ``salt`` gives another draw.
+def draw(key: str | Sequence[str], salt: str = "") -> Column:
+    """A number from 0 to 2**32 - 1 that depends on the key's text alone.
 
-    A key of several columns is joined with a separator.
+    It is made of the first digits of an MD5; ``salt`` gives another draw.
+    Several columns are joined with a separator.  A NULL counts as a value of
+    its own, so rows without a key have a draw, too, all the same one.
     """
-    content = F.col(key).cast("string") if isinstance(key, str) else F.concat_ws("|", *key)
+    names = [key] if isinstance(key, str) else list(key)
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit(_MISSING)) for c in names]
+    content = F.concat_ws("|", *texts)
     if salt:
         content = F.concat(F.lit(salt), content)
-    return F.substring(F.md5(content), 1, _DIGITS)
+    return F.conv(F.substring(F.md5(content), 1, _DIGITS), 16, 10).cast("bigint")
 
 
-def cut(fraction: float) -> str:
-    """The digest below which ``fraction`` of all keys fall."""
-    return format(round(fraction * 16**_DIGITS), f"0{_DIGITS}x")
+def cut(fraction: float) -> int:
+    """The draw below which ``fraction`` of all keys fall."""
+    return round(fraction * _STEPS)
 
 
-def below(key: str | Sequence[str], fraction: float, salt: str = "") -> Column:
-    """True for about ``fraction`` of the keys."""
-    if fraction >= 1:
+def between(key: str | Sequence[str], start: int, end: int, salt: str = "") -> Column:
+    """True for draws from ``start`` up to but not including ``end``."""
+    if start >= end:
+        return F.lit(False)
+    if start <= 0 and end >= _STEPS:
         return F.lit(True)
-    return digest(key, salt) < F.lit(cut(fraction))
+    number = draw(key, salt)
+    return (number >= start) & (number < end)
+
+
+def below(key: str | Sequence[str], fraction: float, salt: str = "") -> Column:
+    """True for about ``fraction`` of the keys; 0 takes none, 1 all."""
+    return between(key, 0, cut(fraction), salt)
 
 
 def split(
     df: DataFrame, key: str | Sequence[str], weights: Sequence[float], salt: str = ""
 ) -> list[DataFrame]:
-    """Disjoint parts in proportion to ``weights``; together they are the table."""
+    """Disjoint parts in proportion to ``weights``; together they are the table.
+
+    A part of weight 0 is empty.  Weights must not be negative or all 0.
+    """
     total = float(sum(weights))
-    parts, start, done = [], None, 0.0
+    if total <= 0 or min(weights) < 0:
+        raise ValueError("weights must not be negative, and one must be positive")
+    last = max(i for i, weight in enumerate(weights) if weight > 0)
+    parts, start, done = [], 0, 0.0
     for i, weight in enumerate(weights):
         done += weight
-        end = None if i == len(weights) - 1 else cut(done / total)
-        part = df
-        if start is not None:
-            part = part.where(digest(key, salt) >= start)
-        if end is not None:
-            part = part.where(digest(key, salt) < end)
-        parts.append(part)
+        end = _STEPS if i >= last else cut(done / total)
+        parts.append(df.where(between(key, start, end, salt)))
         start = end
     return parts
 
@@ -60,5 +75,4 @@ def with_fold(
     df: DataFrame, key: str | Sequence[str], folds: int, name: str = "fold", salt: str = "fold"
 ) -> DataFrame:
     """Add a fold number 0..folds-1 for cross-validation."""
-    number = F.conv(digest(key, salt), 16, 10).cast("bigint")
-    return df.withColumn(name, (number % folds).cast("int"))
+    return df.withColumn(name, (draw(key, salt) % folds).cast("int"))

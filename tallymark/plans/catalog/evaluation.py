@@ -53,7 +53,7 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def confusion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = _judged_orders(spark, sf_dir)
-    wide = evaluate.confusion_table(judged, "label", "prediction", [0.0, 1.0, 2.0])
+    wide = evaluate.confusion_table(judged, "label", "prediction", [0.0, 1.0, 2.0]).drop("other")
     return wide.toDF("label", "predicted_0", "predicted_1", "predicted_2")
 
 

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
@@ -22,14 +23,18 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def submission(scored: DataFrame, key: str, positive: str = "pass", negative: str = "fail") -> DataFrame:
-    """(ID, y): the predicted class of every key as text."""
-    word = F.when(F.col("prediction") == 1, positive).otherwise(negative)
+    """(ID, y): the predicted class of every key as text; NULL without a prediction."""
+    word = F.when(F.col("prediction") == 1, positive).when(F.col("prediction").isNotNull(), negative)
     return scored.select(F.col(key).alias("ID"), word.alias("y"))
 
 
 def probability_columns(scored: DataFrame, classes: int, column: str = "probability") -> DataFrame:
-    """Replace the probability vector by plain columns, which a CSV file can hold."""
-    values = vector_to_array(column)
+    """Replace the probabilities by plain columns, which a CSV file can hold.
+
+    They may be a vector, as models give it, or an array, as ``score`` does.
+    """
+    is_array = isinstance(scored.schema[column].dataType, ArrayType)
+    values = F.col(column) if is_array else vector_to_array(column)
     return scored.withColumns(
         {f"probability_{i}": values[i] for i in range(classes)}
     ).drop(column)

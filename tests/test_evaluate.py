@@ -58,7 +58,7 @@ def test_accuracy_and_confusion(judged):
     cells = evaluate.confusion(judged, "label", "prediction")
     assert cells.agg(F.sum("n")).first()[0] == 500
     wide = evaluate.confusion_table(judged, "label", "prediction", [0.0, 1.0, 2.0, 3.0])
-    assert wide.count() == 3 and len(wide.columns) == 5
+    assert wide.count() == 3 and len(wide.columns) == 6
 
 
 def test_one_class_only(spark):
