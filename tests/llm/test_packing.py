@@ -44,7 +44,7 @@ def test_word_ids_equal_the_tokenizer():
     tokenizer = Tokenizer.from_file(PATH)
     ids = packing.WordIds(PATH)
     for text in ("", "Hello, World.  It's\n\nfine!", "a\tb\r\nc", "İ. İ, x", "été, été.",
-                 "<|endoftext|> x", "12.5% off...", " lead and trail ", "क़. 하.", "x" * 500):
+                 "<|endoftext|> x", "<|ENDOFTEXT|> <|EndOfText|>, The the THE. été. ÉTÉ.", "12.5% off...", " lead and trail ", "क़. 하.", "x" * 500):
         assert ids(text)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
