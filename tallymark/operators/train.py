@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -72,12 +73,31 @@ def ready(df: DataFrame, in_memory: bool = False) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+# Fits that go over the table about once: a copy would cost more than it saves.
+_ONE_PASS = (LinearRegression, NaiveBayes)
+
+
+def _used_columns(model: Estimator) -> list[str]:
+    """The columns that a fit reads: features, label, and the weight if one is set."""
+    named = [model.getOrDefault(p) for p in ("featuresCol", "labelCol")]
+    if model.hasParam("weightCol") and model.isDefined("weightCol"):
+        named.append(model.getOrDefault("weightCol"))
+    return named
+
+
 def fit(
     train: DataFrame, stages: Sequence, model: Estimator, in_memory: bool = False
 ) -> PipelineModel:
-    """Fit feature stages and a model on a training table."""
-    with ready(train, in_memory) as rows:
-        return Pipeline(stages=[*stages, model]).fit(rows)
+    """Fit feature stages and a model on a training table.
+
+    Features are made first, and an iterative model reads a copy of the columns
+    it needs, nothing else.
+    """
+    if isinstance(model, _ONE_PASS):
+        return Pipeline(stages=[*stages, model]).fit(train)
+    features = Pipeline(stages=list(stages)).fit(train)
+    with ready(features.transform(train).select(*_used_columns(model)), in_memory) as rows:
+        return PipelineModel([*features.stages, model.fit(rows)])
 
 
 def perceptron_layers(n_features: int, n_classes: int, hidden: Sequence[int]) -> list[int]:
@@ -166,22 +186,63 @@ def cross_validate(
     Folds come from the key, so they do not depend on how rows are partitioned.
     """
     combinations = grid(model, choices)
-    validator = CrossValidator(
-        estimator=model,
-        estimatorParamMaps=combinations,
-        evaluator=evaluator or MulticlassClassificationEvaluator(metricName="accuracy"),
-        numFolds=folds,
-        parallelism=parallelism,
-        foldCol="fold",
-    )
     with ready(with_fold(train, key, folds)) as rows:
-        fitted = validator.fit(rows)
-    described = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda i: i[0].name)), float(m))
-        for c, m in zip(combinations, fitted.avgMetrics)
-    ]
-    table = train.sparkSession.createDataFrame(described, "params string, measure double")
-    return fitted.bestModel, table
+        if evaluator is None and "threshold" in choices:
+            best, measures = _validate_thresholds(rows, model, choices, folds, parallelism)
+        else:
+            validator = CrossValidator(
+                estimator=model,
+                estimatorParamMaps=combinations,
+                evaluator=evaluator or MulticlassClassificationEvaluator(metricName="accuracy"),
+                numFolds=folds,
+                parallelism=parallelism,
+                foldCol="fold",
+            )
+            fitted = validator.fit(rows)
+            best = fitted.bestModel
+            measures = [(_described({p.name: v for p, v in c.items()}), float(m))
+                        for c, m in zip(combinations, fitted.avgMetrics)]
+    table = train.sparkSession.createDataFrame(measures, "params string, measure double")
+    return best, table
+
+
+def _described(values: Mapping[str, Any]) -> str:
+    return ", ".join(f"{name}={value}" for name, value in sorted(values.items()))
+
+
+def _validate_thresholds(
+    rows: DataFrame, model: Estimator, choices: Mapping[str, Sequence[Any]], folds: int, parallelism: int
+) -> tuple[Model, list[tuple[str, float]]]:
+    """Mean accuracy per combination; a threshold changes no fit, so one pass measures them all."""
+    others = {name: values for name, values in choices.items() if name != "threshold"}
+    fits = [{p.name: v for p, v in c.items()} for c in grid(model, others)]
+    label = model.getOrDefault("labelCol")
+
+    def measured(job: tuple[int, int]) -> list[float]:
+        number, fold = job
+        fitted = fits[number]
+        learned = model.copy({model.getParam(n): v for n, v in fitted.items()}).fit(rows.where(F.col("fold") != fold))
+        chance = vector_to_array("probability")[1]
+        right = [
+            F.avg(((chance > t).cast("double") == F.col(label)).cast("double")).alias(str(i))
+            for i, t in enumerate(choices["threshold"])
+        ]
+        return list(learned.transform(rows.where(F.col("fold") == fold)).agg(*right).first())
+
+    jobs = [(number, fold) for number in range(len(fits)) for fold in range(folds)]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        results = dict(zip(jobs, pool.map(inheritable_thread_target(measured), jobs)))
+    measures, best = [], None
+    for number, values in enumerate(fits):
+        for i, threshold in enumerate(choices["threshold"]):
+            got = [results[number, fold][i] for fold in range(folds)]
+            known = [x for x in got if x is not None]  # a fold may be empty
+            mean = sum(known) / len(known) if known else 0.0
+            full = {**values, "threshold": threshold}
+            measures.append((_described(full), mean))
+            if best is None or mean > best[0]:
+                best = (mean, full)
+    return model.copy({model.getParam(n): v for n, v in best[1].items()}).fit(rows), measures
 
 
 # Looking inside fitted models -----------------------------------------------
@@ -201,7 +262,7 @@ def coefficients(model: Model, names: Sequence[str]) -> DataFrame:
 
 
 def training_history(model: Model) -> DataFrame:
-    """(iteration, objective) of a fitted iterative model."""
+    """(iteration, objective) of a fitted iterative model; iteration 0 is the start."""
     history = [(i, float(v)) for i, v in enumerate(model.summary.objectiveHistory)]
     return _driver_rows(history, "iteration int, objective double")
 

@@ -19,7 +19,7 @@ from tallymark.functions import labels, text
 from tallymark.operators import encode, evaluate, impute, relate, shape, split, train
 from tallymark.sources import readers, schemas, sinks
 
-SEED = 16578
+SEED = 7
 _COUNT = "Number_of_Cylinders"
 # Categories of the model, and the two that are left out of it.
 CATEGORIES = tuple(

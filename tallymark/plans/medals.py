@@ -22,18 +22,18 @@ def reports(medals: DataFrame, sport: str = "Hockey", country: str = "India") ->
     of_country = shape.equal_to(medals, "country", country)
     return {
         "country_in_sport": totals.sum_by(
-            shape.equal_to(medals, "game_category", sport), ["country"], won, "num_of_medals"
+            shape.equal_to(medals, "game_category", sport), ["country"], won, "medals"
         ),
         "one_country_by_games": totals.sum_by(
-            of_country, ["country", "olympic_year"], won, f"num_of_medals_{country.lower()}"
+            of_country, ["country", "olympic_year"], won, f"medals_{country.lower()}"
         ),
-        "country": totals.sum_by(medals, ["country"], won, "num_of_medals_cntry"),
+        "country": totals.sum_by(medals, ["country"], won, "medals"),
         "country_by_games": totals.sum_by(
-            medals, ["country", "olympic_year"], won, "num_of_medals_cntry"
+            medals, ["country", "olympic_year"], won, "medals"
         ),
         "athletes_by_games": shape.renamed(
-            totals.distinct_of(of_country, ["olympic_year", "athele_name"]),
-            {"athele_name": "atheletes"},
+            totals.distinct_of(of_country, ["olympic_year", "athlete"]),
+            {"athlete": "athletes"},
         ),
     }
 

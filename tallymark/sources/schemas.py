@@ -18,7 +18,7 @@ def _schema(fields: str) -> StructType:
 
 # Names and types of the file columns, in file order.
 MEDALS = _schema(
-    "athele_name string, age int, country string, olympic_year int, date_of_game string, "
+    "athlete string, age int, country string, olympic_year int, date_of_game string, "
     "game_category string, gold int, silver int, bronze int, total_medals int"
 )
 DISTRESS = _schema(

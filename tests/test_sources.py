@@ -14,7 +14,7 @@ def test_csv_without_header(spark, tmp_path):
     path = write(tmp_path / "m.csv", "A,20,India,2000,d,Hockey,1,0,0,1\nB,30,Spain,2004,d,Golf,,1,0,1\n")
     df = readers.csv(spark, path, schemas.MEDALS, header=False)
     assert df.schema == schemas.MEDALS
-    assert [r.gold for r in df.orderBy("athele_name").collect()] == [1, None]
+    assert [r.gold for r in df.orderBy("athlete").collect()] == [1, None]
 
 
 def test_csv_inferred_and_renamed(spark, tmp_path):
