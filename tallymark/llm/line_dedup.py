@@ -214,7 +214,7 @@ def within_one_edit(x: str, y: str) -> Column:
 def near_copies(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """Places of distinct lines that are one edit away from an earlier distinct line."""
     lines = _their_words(docs, _with_partner(firsts))
-    met = _earlier_partner(variants(lines))
+    met = _earlier_partner(reliable_copy(variants(lines)))
     x = lines.select("id", *_PLACE, F.col("words").alias("x"))
     y = lines.select(F.col("id").alias("partner"), F.col("words").alias("y"))
     return met.join(x, "id").join(y, "partner").where(within_one_edit("x", "y")).select(*_PLACE)
