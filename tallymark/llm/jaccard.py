@@ -6,9 +6,9 @@ order makes the candidates: tokens that are frequent in the corpus come last,
 the others go by their hash.  A candidate must then also share a leading token
 under two further orders before its sets are intersected.
 
-Equal sets are one node, so copies cost nothing.  The nodes that share a leading
-token are first compared with two of them only, one of them in the middle of its
-family; what that links is one component.  Other pairs are made only between
+Equal sets are one node, so copies cost nothing.  The nodes that share leading
+tokens are first compared with one of them only, in the middle of its family;
+what that links is one component.  Other pairs are made only between
 different components that still share a token at places that allow enough common
 tokens.  No link is lost: a pair that is skipped lies in one component.
 """
@@ -38,7 +38,7 @@ FREQUENT = 1_000_000
 _SPREAD = 16
 
 _ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
-_BYTES = 6  # kept of a token for comparing two sets
+_BYTES = 5  # kept of a token for comparing two sets
 
 
 def leading(n: int, percent: int) -> int:
@@ -203,21 +203,20 @@ def _linked(percent: int):
 def _verified(pairs: DataFrame, texts: DataFrame, holders: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar enough.
 
-    Sets are made anew for the nodes that occur in a pair, each from one text.
+    Sets are made anew for the nodes that occur in a pair, each from one row.
+    A set goes along with the pairs of its node a; b is the node with many pairs.
     """
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    keys = reliable_copy(holders.join(nodes, "node", "left_semi").select("text_key").distinct())
-    wanted = common.broadcast_if_small(keys)
-    sets = (
-        texts.join(wanted, "text_key", "left_semi")
-        .dropDuplicates(["text_key"])
-        .select("text")
-        .mapInArrow(*_sets(k))
+    wanted = reliable_copy(holders.join(nodes, "node", "left_semi").select(*common.KEY))
+    some = common.broadcast_if_small(wanted)
+    sets = reliable_copy(
+        texts.join(some, common.same_document(texts, some), "left_semi").select("text").mapInArrow(*_sets(k))
     )
-    sets = reliable_copy(sets)
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(*_linked(percent))
+    ends = common.broadcast_if_small(reliable_copy(pairs.select("b").distinct()))
+    y = y.join(ends, "b", "left_semi")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(*_linked(percent)).distinct()
 
 
 def _possible(percent: int):
@@ -232,61 +231,82 @@ def _possible(percent: int):
     )
 
 
-def links(docs: DataFrame, described: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between nodes that together give all components."""
-    texts = common.keyed(docs, "text")
-    frequent = _frequent(described)
-    shared = (
+def _groups(texts: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataFrame:
+    """(group, node, n, place, tokens): sets of nodes that share leading tokens.
+
+    Tokens with the same nodes are one group; ``place`` is that of the first of
+    them, in which every node has its smallest, and ``tokens`` how many they are.
+    Rows of a frequent token are spread over several tasks, so it is a group of
+    its own.
+    """
+    nodes = "OVER (PARTITION BY token, spread)"
+    # Copies repeat a node's rows for all of its tokens alike, so sums tell node sets apart.
+    rows = (
         texts.select("text")
         .mapInArrow(*_first_tokens(frequent, k, percent))
-        .withColumn("low", F.expr("min(node) OVER (PARTITION BY token, spread)"))
-        .withColumn("high", F.expr("max(node) OVER (PARTITION BY token, spread)"))
+        .withColumn("low", F.expr(f"min(node) {nodes}"))
+        .withColumn("high", F.expr(f"max(node) {nodes}"))
+        .withColumn("size", F.expr(f"count(*) {nodes}"))
+        .withColumn("sum", F.expr(f"sum(pmod(xxhash64(node), {1 << 40})) {nodes}"))
         .where("low < high OR spread >= 0")
-        .select("token", "node", "n", "place")
-        .distinct()
     )
-    groups = reliable_copy(shared)
+    same_nodes = F.xxhash64("low", "high", "size", "sum")
+    found = reliable_copy(
+        rows.withColumn("often", F.col("spread") >= 0)
+        .groupBy("often", F.when(F.col("often"), F.col("token")).otherwise(same_nodes).alias("group"), "node")
+        .agg(F.first("n").alias("n"), F.min("place").alias("place"), F.count("*").alias("tokens"))
+    )
+    often = found.where("often").groupBy("group").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    single = often.where("low = high").select("group", F.lit(True).alias("often"))
+    return reliable_copy(found.join(single, ["often", "group"], "left_anti").drop("often"))
+
+
+def links(docs: DataFrame, described: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) between nodes that together give all components."""
+    texts = common.keyed(docs, "text")
+    groups = _groups(texts, _frequent(described), k, percent)
     # Texts near the middle of a family of copies have most of their tokens in common.
-    weights = groups.groupBy("node").agg(F.count("*").alias("weight"))
-    weighed = groups.join(weights, "node")
-    member = F.struct("weight", "node", "n", "place")
-    middles = weighed.groupBy("token").agg(
-        F.max(member).alias("middle"), F.min(F.struct("node", "n", "place")).alias("other")
+    weights = groups.groupBy("node").agg(F.sum("tokens").alias("weight"))
+    middles = groups.join(weights, "node").groupBy("group").agg(
+        F.max(F.struct("weight", "node", "n", "place")).alias("end")
     )
-    end = F.explode(F.array(F.struct("middle.node", "middle.n", "middle.place"), "other"))
     first_pairs = (
-        groups.join(middles, "token")
-        .select("node", "n", "place", end.alias("end"))
+        groups.join(middles, "group")
         .where(F.col("node") != F.col("end.node"))
         .withColumns({"m": F.col("end.n"), "place2": F.col("end.place")})
         .where(_possible(percent))
-        .select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b"))
-        .distinct()
+        .select(F.col("node").alias("a"), F.col("end.node").alias("b"))
+        .groupBy(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+        .agg(F.min(F.struct("a", "b")).alias("pair"))
+        .select("pair.*")
     )
     first_pairs = reliable_copy(first_pairs)
     holders = reliable_copy(
-        described.where("node IS NOT NULL").groupBy("node").agg(F.min("text_key").alias("text_key"))
+        described.where("node IS NOT NULL")
+        .groupBy("node")
+        .agg(F.min(F.struct(*common.KEY)).alias("row"))
+        .select("node", "row.*")
     )
     first = reliable_copy(_verified(first_pairs, texts, holders, k, percent))
     known = components(first)
     placed = groups.join(known, "node", "left").select(
-        "token", "node", "n", "place", F.coalesce("component", "node").alias("component")
+        "group", "node", "n", "place", F.coalesce("component", "node").alias("component")
     )
-    open_tokens = placed.groupBy("token").agg(
+    open_groups = placed.groupBy("group").agg(
         F.min("component").alias("c"), F.max("component").alias("d")
-    ).where("c < d").select("token")
-    still = reliable_copy(placed.join(open_tokens, "token", "left_semi"))
-    one = still.select("token", F.col("node").alias("a"), "n", "place", F.col("component").alias("c"))
+    ).where("c < d").select("group")
+    still = reliable_copy(placed.join(open_groups, "group", "left_semi"))
+    one = still.select("group", F.col("node").alias("a"), "n", "place", F.col("component").alias("c"))
     other = still.select(
-        "token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("place2"),
+        "group", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("place2"),
         F.col("component").alias("d"),
     )
     rest = (
-        one.join(other, "token")
+        one.join(other, "group")
         .where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _possible(percent))
         .select("a", "b")
         .distinct()
-        .join(first_pairs, ["a", "b"], "left_anti")
+        .join(first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
     return first.unionByName(_verified(reliable_copy(rest), texts, holders, k, percent))
 
