@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,16 @@ SENTENCE_PENALTY = 2.0
 FORCED_PENALTY = 48.0
 
 _CHUNK = 400_000  # ids in one run of the dynamic program; open ends are carried on
-_WORDS = 500_000  # words whose ids a worker keeps
-_KEPT_IDS = 8_000_000
+_WORDS = 400_000  # words whose ids a worker keeps
+_KEPT_IDS = 4_000_000
+
+
+_SENTENCE_ENDS = frozenset((".", "!", "?", "\n"))
+
+
+def _latin(word: str) -> str:
+    """Lower-case form of a word of Latin letters and one last mark, else nothing."""
+    return word.lower() if len(word) > 1 and max(word) < "ɐ" and "İ" not in word and word[:-1].isalpha() else ""
 
 
 class WordIds:
@@ -52,54 +61,77 @@ class WordIds:
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
         self.ends = np.zeros(1 << 14, bool)
-        self._keep("\n", [], True)
-
-    def _keep(self, word: str, ids: list[int], sentence_end: bool) -> None:
-        if self.size + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-        if self.count == len(self.starts):
-            for name in ("starts", "lengths", "ends"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-        self.flat[self.size : self.size + len(ids)] = ids
-        self.starts[self.count], self.lengths[self.count] = self.size, len(ids)
-        self.ends[self.count] = sentence_end
-        self.index[word] = self.count
-        self.size += len(ids)
-        self.count += 1
-
-    def _encoded(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self._keep(["\n"], [[]])
+        self._learn({".", ","})
+
+    def _grown(self, name: str, needed: int) -> np.ndarray:
+        old = getattr(self, name)
+        if needed > len(old):
+            old = np.concatenate([old, np.zeros(max(len(old), needed - len(old)), old.dtype)])
+            setattr(self, name, old)
+        return old
+
+    def _keep(self, words: list[str], ids: list[list[int]]) -> None:
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        total = int(lengths.sum())
+        rows = slice(self.count, self.count + len(words))
+        self._grown("flat", self.size + total)[self.size : self.size + total] = np.fromiter(
+            chain.from_iterable(ids), np.uint32, total
+        )
+        self._grown("lengths", rows.stop)[rows] = lengths
+        self._grown("starts", rows.stop)[rows] = self.size + np.cumsum(lengths) - lengths
+        self._grown("ends", rows.stop)[rows] = [w[-1:] in _SENTENCE_ENDS for w in words]
+        self.index.update(zip(words, range(rows.start, rows.stop)))
+        self.size += total
+        self.count = rows.stop
 
     def _learn(self, words: set[str]) -> None:
-        """Latin words before a single stop or comma share the ids of the bare word."""
+        """Add words.  Latin ones share the ids of their bare lower-case form.
+
+        Case does not count, and a single stop or comma after letters is a token
+        of its own; beyond Latin letters neither is taken for granted.
+        """
+        index = self.index
+        words = {w for w in words if "<|" not in w} if (special := {w for w in words if "<|" in w}) else words
+        if special:  # may hold a special token, whose case counts
+            order = list(special)
+            self._keep(order, [e.ids for e in self.tokenizer.encode_batch_fast(order, add_special_tokens=False)])
+        plain = {w: w.lower() for w in words if w.isascii() or (max(w) < "ɐ" and w.isalpha() and "İ" not in w)}
         bare = {
-            w: w[:-1]
+            w: form[:-1]
             for w in words
-            if len(w) > 1 and w[-1] in ".," and w[:-1].isalpha() and max(w) < "ɐ" and "İ" not in w
+            if (form := plain.get(w) or _latin(w)) and form[-1] in ".," and form[:-1].isalpha()
         }
-        needed = list((words - bare.keys()) | ({*bare.values(), ".", ","} - self.index.keys()))
-        for word, ids in zip(needed, self._encoded(needed)):
-            if word not in self.index:
-                self._keep(word, ids, word[-1:] in (".", "!", "?"))
-        for word, stem in bare.items():
-            ids = [i for part in (stem, word[-1]) for i in self._of(part)]
-            self._keep(word, ids, word[-1] == ".")
+        forms = {w: form for w, form in plain.items() if w not in bare}
+        first = {x for x in (*bare.values(), *forms.values()) if x not in index}
+        first.update(w for w in words if w not in plain and w not in bare)
+        if first:
+            order = list(first)
+            encoded = self.tokenizer.encode_batch_fast(order, add_special_tokens=False)
+            self._keep(order, [e.ids for e in encoded])
+        later = [w for w in words if w not in index]
+        if later:
+            self._keep(later, [
+                self._of(bare[w]) + self._of(w[-1]) if w in bare else self._of(forms[w]) for w in later
+            ])
 
     def _of(self, word: str) -> list[int]:
         i = self.index[word]
-        return self.flat[self.starts[i] : self.starts[i] + self.lengths[i]].tolist()
+        at = self.starts[i]
+        return self.flat[at : at + self.lengths[i]].tolist()
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``text``, and how many ids lie before each sentence end."""
         words = text.replace("\n", " \n ").split(" ")
-        missing = {w for w in words if w not in self.index}
-        if missing:
+        found = list(map(self.index.get, words))
+        if None in found:
+            missing = {w for w, row in zip(words, found) if row is None}
             if self.count + len(missing) > _WORDS or self.size > _KEPT_IDS:
                 self._forget()
-                missing = set(words) - self.index.keys()
+                missing = {w for w in words if w not in self.index}
             self._learn(missing)
-        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            found = map(self.index.__getitem__, words)
+        rows = np.fromiter(found, np.int64, len(words))
         lengths = self.lengths[rows]
         ends = np.cumsum(lengths)
         total = int(ends[-1])
@@ -177,7 +209,7 @@ class _Stream:
 
     def add(self, doc_id: int | None, ids: np.ndarray, sentences: np.ndarray) -> None:
         self.documents.append((doc_id, self.size, 0, len(ids)))
-        inner = np.unique(sentences[(sentences > 0) & (sentences < len(ids))])
+        inner = sentences[(sentences > 0) & (sentences < len(ids))]  # ascending, repeats go in solve
         self.places.append(np.append(inner, len(ids)) + self.size)
         self.penalties.append(np.append(np.full(len(inner), SENTENCE_PENALTY), 0.0))
         self.ids.append(ids)
