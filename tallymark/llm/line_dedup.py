@@ -249,19 +249,28 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True)
     own = [c for c in docs.columns if c not in added]
     rows = docs.select(*own, F.xxhash64("text").alias("text_key"))
     kept = kept_lines(docs, min_words, near)
-    joined = rows.join(kept, common.same_document(rows, kept), "left").select(
-        *[rows[c] for c in own], "nos", F.split(rows["text"], "\n").alias("lines")
+    joined = rows.join(kept, common.same_document(rows, kept), "left").select(*[rows[c] for c in own], "nos")
+    # One-element lists, exploded: what is made before them is not made again by later expressions.
+    split_up = joined.select("*", F.explode_outer(F.array(F.split("text", "\n"))).alias("lines"))
+    short = F.transform(
+        "lines", lambda line, i: F.when(word_count(normal_form(line)) < min_words, i)
     )
-    short = F.filter(
-        F.sequence(F.lit(0), F.size("lines") - 1),
-        lambda i: word_count(normal_form(F.get("lines", i))) < min_words,
+    stay = F.array_sort(
+        F.array_union(F.filter(short, lambda i: i.isNotNull()), F.coalesce("nos", F.array().cast("array<int>")))
     )
-    stay = F.array_sort(F.array_union(short, F.coalesce("nos", F.array().cast("array<int>"))))
+    placed = split_up.select("*", F.explode_outer(F.array(stay)).alias("stay"))
     rebuilt = F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")
-    return joined.withColumn("stay", F.when(F.col("text").isNotNull(), stay)).select(
+    known = F.col("text").isNotNull()
+    result = F.struct(
+        F.when(known, rebuilt).alias("text"),
+        F.when(known, F.size("lines")).otherwise(0).cast("long").alias("n_lines"),
+        F.when(known, F.size("lines") - F.size("stay")).otherwise(0).cast("long").alias("n_dropped"),
+    )
+    done = placed.select(*own, F.explode_outer(F.array(result)).alias("done"))
+    return done.select(
         *[c for c in own if c != "text"],
-        F.when(F.col("text").isNotNull(), rebuilt).alias("text"),
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("lines") - F.size("stay"), F.lit(0)).cast("long").alias("n_dropped"),
+        "done.text",
+        "done.n_lines",
+        "done.n_dropped",
         F.col("text").alias("old_text"),
     )
