@@ -28,6 +28,9 @@ ORDER = 5
 QUANTILE = 0.985
 # Good documents whose id falls into one of FOLDS parts set the thresholds.
 FOLDS = 5
+# The threshold lies this part of its distance from the median, over the root of
+# the number of documents behind it, above the quantile.
+WIDEN = 3.0
 # So many bytes at the language's median count towards every score.
 PRIOR_BYTES = 100
 # n-grams in one shard: 12 bytes each in every worker.
@@ -35,7 +38,7 @@ SHARD_ROWS = 4_000_000
 # Scores are counted in steps of 1 / STEPS for the quantiles.
 STEPS = 2000
 
-_BLOCK = 6_000_000
+_BLOCK = 4_000_000
 _SLICE = 1_000_000
 _START = 1  # byte before a text; control characters do not occur in prose
 
@@ -74,25 +77,30 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str]]]:
 def _counter():
     schema = pa.schema([("gram", pa.int64()), ("times", pa.int64())])
 
-    def summed(grams: list[np.ndarray], train: list[np.ndarray]) -> pa.RecordBatch:
-        keys, place = np.unique(np.concatenate(grams), return_inverse=True)
-        times = np.bincount(place, np.concatenate(train), len(keys)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], schema=schema)
+    def summed(trained: list[np.ndarray], others: list[np.ndarray]) -> pa.RecordBatch:
+        keys, times = np.unique(np.concatenate(trained), return_counts=True)
+        rest = np.setdiff1d(np.unique(np.concatenate(others)), keys, assume_unique=True)
+        both = np.concatenate([keys, rest])
+        counts = np.concatenate([times.astype(np.int64), np.zeros(len(rest), np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(both), pa.array(counts)], schema=schema)
+
+    none = np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, train, size = [], [], 0
+        trained, others, size = [none], [none], 0
         for batch in batches:
             good = np.array(batch.column("train").to_pylist(), bool)
             for a, b, texts in _slices(batch):
                 grams, sizes = _grams(texts)
-                held.append(grams)
-                train.append(np.repeat(good[a:b], sizes))
+                mark = np.repeat(good[a:b], sizes)
+                trained.append(grams[mark])
+                others.append(grams[~mark])
                 size += len(grams)
                 if size >= _BLOCK:
-                    yield summed(held, train)
-                    held, train, size = [], [], 0
+                    yield summed(trained, others)
+                    trained, others, size = [none], [none], 0
         if size:
-            yield summed(held, train)
+            yield summed(trained, others)
 
     return run, "gram long, times long"
 
@@ -222,8 +230,17 @@ def _quantiles(scores: DataFrame, column: str, share: float, name: str) -> DataF
     lang = Window.partitionBy("lang")
     upto = F.sum("rows").over(lang.orderBy("bin"))
     all_ = F.sum("rows").over(lang)
-    return bins.select("lang", "bin", (upto >= F.lit(share) * all_).alias("reached")).where("reached").groupBy(
-        "lang").agg(((F.min("bin") + 1) / STEPS).alias(name))
+    return (
+        bins.select("lang", "bin", (upto >= F.lit(share) * all_).alias("reached"), all_.alias("n_lang"))
+        .where("reached")
+        .groupBy("lang")
+        .agg(((F.min("bin") + 1) / STEPS).alias(name), F.max("n_lang").alias(f"{name}_n"))
+    )
+
+
+def _widened(limit: str, usual: str) -> Column:
+    """A quantile of few documents lies too low by chance: the more, the fewer they are."""
+    return F.col(limit) + (F.col(limit) - F.col(usual)) * WIDEN / F.sqrt(f"{limit}_n")
 
 
 def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -252,7 +269,7 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     mean = reliable_copy(raw.withColumn("mean", F.col("nats") / F.nullif("n", F.lit(0))))
     held = mean.where("held AND mean IS NOT NULL")
     usual = F.broadcast(_quantiles(held, "mean", 0.5, "usual"))
-    every = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "mean", 0.5, "usual_all").select("usual_all"))
+    every = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "mean", 0.5, "usual_all").drop("lang"))
 
     def drawn(rows: DataFrame) -> DataFrame:
         towards = F.coalesce("usual", "usual_all", "mean")
@@ -263,8 +280,8 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     settled = reliable_copy(drawn(mean))
     held = settled.where("held AND score IS NOT NULL")
     limit = F.broadcast(_quantiles(held, "score", quantile, "limit"))
-    limit_all = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "score", quantile, "limit_all").select("limit_all"))
-    threshold = F.coalesce("limit", "limit_all")
+    limit_all = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "score", quantile, "limit_all").drop("lang"))
+    threshold = F.coalesce(_widened("limit", "usual"), _widened("limit_all", "usual_all"))
     return settled.join(limit, "lang", "left").join(limit_all, how="left").select(
         *common.KEY,
         "lang",

@@ -124,7 +124,7 @@ def test_without_labels_or_documents(spark, corpus):
 
 
 def test_held_out_accuracy(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     docs, marks = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     train = marks.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     rows = quality.scores(docs, train).join(marks.join(train, "doc_id", "left_anti"), "doc_id").collect()
