@@ -50,7 +50,7 @@ def test_brute_force_and_odd_rows(spark):
 
 
 def test_blocks_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate.common.blocks, "__defaults__", (5,))
+    monkeypatch.setattr(decontaminate.common.blocks, "__defaults__", (60,))
     docs = [(i, " ".join(f"w{(i * j) % 23}" for j in range(60)), "x") for i in range(20)]
     items = [(i, " ".join(f"w{(i * j) % 23}" for j in range(10, 30)), "x") for i in range(12)]
     assert got(spark, docs, items) == brute(docs, items)
