@@ -110,13 +110,19 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return counts.first().asDict()
 
 
-def usable_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> list[str]:
+def usable_categories(
+    df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS, keep_unseen: bool = False
+) -> list[str]:
     """The columns that can be encoded as indicators.
 
-    A column with one level carries nothing and is left out.  One with more
-    than ``limit`` levels is an id rather than a category and is refused.
+    A column with one level carries nothing and is left out; with
+    ``keep_unseen`` missing values are a level, too.  One with more than
+    ``limit`` levels is an id rather than a category and is refused.
     """
     found = level_counts(df, columns)
+    if keep_unseen:
+        gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+        found = {c: n + (gaps[c] > 0) for c, n in found.items()}
     too_many = [c for c in columns if found[c] > limit]
     if too_many:
         raise ValueError(f"too many levels for indicator columns: {', '.join(too_many)}")
@@ -157,7 +163,8 @@ def feature_stages(
 
 def fit_features(train: DataFrame, categories: Sequence[str], numbers: Sequence[str], **options) -> Transformer:
     """Fit the feature stages on the training table, for use on any table."""
-    usable = usable_categories(train, categories) if categories else []
+    keep = options.get("keep_unseen", False)
+    usable = usable_categories(train, categories, keep_unseen=keep) if categories else []
     return Pipeline(stages=feature_stages(usable, numbers, **options)).fit(train)
 
 

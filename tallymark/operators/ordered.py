@@ -60,7 +60,9 @@ def running_sums(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return laid_out.join(F.broadcast(offsets), [*keys, _RANGE]).select(
+    # Groups may be many: then the sizes decide how the offsets are joined.
+    joined = laid_out.join(offsets if group else F.broadcast(offsets), [*keys, _RANGE])
+    return joined.select(
         *points.columns,
         *[(F.sum(c).over(within) + F.col(f"{n}_before")).alias(n) for n, c in totals.items()],
         *[F.col(f"{n}_all") for n in totals],

@@ -231,7 +231,7 @@ def _validate_thresholds(
 
     jobs = [(number, fold) for number in range(len(fits)) for fold in range(folds)]
     with ThreadPool(min(parallelism, len(jobs))) as pool:
-        results = dict(zip(jobs, pool.map(inheritable_thread_target(measured), jobs)))
+        results = dict(zip(jobs, pool.map(inheritable_thread_target(rows.sparkSession)(measured), jobs)))
     measures, best = [], None
     for number, values in enumerate(fits):
         for i, threshold in enumerate(choices["threshold"]):

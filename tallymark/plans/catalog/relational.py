@@ -138,6 +138,13 @@ def membership_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("o_orderkey", "test_results", both.alias("both_or_not"))
 
 
+def membership_code_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reading in which a row counts only when it is on both lists."""
+    flags = _flags(spark, sf_dir)
+    coded = relate.with_membership(_ids(spark, sf_dir), "o_orderkey", flags, one_sided=2)
+    return coded.select("o_orderkey", "test_results")
+
+
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = totals.class_shares(table(spark, sf_dir, "events"), "event_type")
     return shares.withColumn("share", F.round("share", 6))
@@ -181,6 +188,7 @@ QUERIES = {
     "left_join_either_key": left_join_either_key,
     "inner_join_lists": inner_join_lists,
     "membership_code": membership_code,
+    "membership_code_strict": membership_code_strict,
     "class_distribution": class_distribution,
     "table_shape": table_shape,
     "num_classes": num_classes,
@@ -243,6 +251,11 @@ ORACLES = {
                CASE WHEN test_a IS NOT NULL AND test_b IS NOT NULL THEN 1 ELSE 2 END AS both_or_not
         FROM orders LEFT JOIN ({_LIST_A}) a ON o_orderkey = test_a
         LEFT JOIN ({_LIST_B}) b ON o_orderkey = test_b""",
+    "membership_code_strict": f"""
+        SELECT o_orderkey,
+               CASE WHEN test_a IS NOT NULL AND test_b IS NOT NULL THEN 1 ELSE 2 END AS test_results
+        FROM orders LEFT JOIN ({_LIST_A}) a ON o_orderkey = test_a
+        LEFT JOIN ({_LIST_B}) b ON o_orderkey = test_b""",
     "class_distribution": """
         SELECT event_type, count(*) AS count, (SELECT count(*) FROM events) AS total,
                round(count(*) / (SELECT count(*) FROM events), 6) AS share

@@ -10,6 +10,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.operators import impute, profile, shape, totals
+from tallymark.session import reliable_copy
 from tallymark.sources import readers, schemas, sinks
 
 # Columns filled with their mean; all others take their mode.
@@ -39,11 +40,15 @@ def prepared(table: DataFrame, target: str = "Target") -> DataFrame:
 
 
 def run(spark: SparkSession, source: str, target: str) -> None:
-    """Read the file, write every report as CSV and the prepared table as parquet."""
-    table = readers.csv_typed(spark, source, schemas.DISTRESS, header=False)
+    """Read the file, write every report as CSV and the prepared table as parquet.
+
+    The file is parsed once: reports and statistics read a copy.
+    """
+    table = reliable_copy(readers.csv_typed(spark, source, schemas.DISTRESS, header=False))
     for name, report in reports(table).items():
         sinks.write_csv(report, f"{target}/{name}")
-    with_mean = totals.with_global_mean(prepared(table), "Utilization", "avg_util")
+    filled = reliable_copy(prepared(table))
+    with_mean = totals.with_global_mean(filled, "Utilization", "avg_util")
     sinks.write_table(with_mean, f"{target}/prepared")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +35,7 @@ def use_checkpoint_folder(spark: SparkSession) -> None:
     """Make sure checkpoints have a folder that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
-    fall back to a folder of this machine.
+    fall back to a folder of this machine, which goes when Python ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
@@ -43,6 +45,7 @@ def use_checkpoint_folder(spark: SparkSession) -> None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="tallymark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators import evaluate, profile, split
+from tallymark.operators import encode, evaluate, profile, split
 from tallymark.sources import sinks
 
 
@@ -108,3 +108,11 @@ def test_probabilities_and_missing_predictions_are_written(spark):
     flat = sinks.probability_columns(df, 2).orderBy("id")
     assert flat.columns == ["id", "prediction", "probability_0", "probability_1"]
     assert tuple(flat.first()) == (1, 1.0, 0.2, 0.8)
+
+
+def test_missing_values_are_a_level_where_they_are_kept(spark):
+    df = spark.createDataFrame([("yes", "a"), (None, "a"), ("yes", "a")], "answer string, constant string")
+    assert encode.usable_categories(df, ["answer", "constant"], keep_unseen=True) == ["answer"]
+    assert encode.usable_categories(df, ["answer", "constant"]) == []
+    model = encode.fit_features(df, ["answer", "constant"], [], keep_unseen=True)
+    assert encode.slot_count(model.transform(df)) == 1
