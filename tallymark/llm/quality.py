@@ -202,7 +202,11 @@ def _scorer(grams: np.ndarray, nats: np.ndarray):
 
 
 def _scored(texts: DataFrame, table: DataFrame) -> DataFrame:
-    """Total nats and number of bytes of every row, one pass for each shard of the table."""
+    """Total nats, number of bytes and number of rows of every document.
+
+    One pass for each shard of the table.  Rows that repeat a document are
+    counted in ``copies``, whatever the number of shards.
+    """
     context = texts.sparkSession.sparkContext
     n = table.count()
     parts = max(1, -(-n // SHARD_ROWS))
@@ -214,18 +218,16 @@ def _scored(texts: DataFrame, table: DataFrame) -> DataFrame:
         if len(grams) == 0:
             grams, nats = np.array([-1]), np.zeros(1, np.float32)
         shared, run_with = _scorer(grams, nats)
-        passes.append(texts.mapInArrow(run_with(context.broadcast(shared)), columns))
-    if parts == 1:
-        return passes[0]
-    # Rows that repeat a document add up alike in every shard; their mean is one row's sum.
+        passes.append(texts.mapInArrow(run_with(context.broadcast(shared)), columns).withColumn("shard", F.lit(i)))
     keys = ["doc_id", "text_key", "lang", "held", "n"]
-    each = reduce(DataFrame.unionByName, passes)
-    return each.groupBy(*keys).agg((F.sum("nats") * parts / F.count("*")).alias("nats"))
+    each = reduce(DataFrame.unionByName, passes).groupBy(*keys, "shard").agg(
+        F.min("nats").alias("nats"), F.count("*").alias("copies"))
+    return each.groupBy(*keys).agg(F.sum("nats").alias("nats"), F.max("copies").alias("copies"))
 
 
 def _quantiles(scores: DataFrame, column: str, share: float, name: str) -> DataFrame:
     """(lang, name): a quantile per language by counting scores in fine steps."""
-    bins = scores.groupBy("lang", F.floor(F.col(column) * STEPS).alias("bin")).agg(F.count("*").alias("rows"))
+    bins = scores.groupBy("lang", F.floor(F.col(column) * STEPS).alias("bin")).agg(F.sum("copies").alias("rows"))
     # One row per language and step of a score: bounded by the range of scores.
     lang = Window.partitionBy("lang")
     upto = F.sum("rows").over(lang.orderBy("bin"))
@@ -278,11 +280,12 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
             "score", F.when(F.col("n") > 0, score))
 
     settled = reliable_copy(drawn(mean))
+    every_row = settled.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     held = settled.where("held AND score IS NOT NULL")
     limit = F.broadcast(_quantiles(held, "score", quantile, "limit"))
     limit_all = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "score", quantile, "limit_all").drop("lang"))
     threshold = F.coalesce(_widened("limit", "usual"), _widened("limit_all", "usual_all"))
-    return settled.join(limit, "lang", "left").join(limit_all, how="left").select(
+    return every_row.join(limit, "lang", "left").join(limit_all, how="left").select(
         *common.KEY,
         "lang",
         F.col("n").alias("n_bytes"),

@@ -113,6 +113,24 @@ def test_shards_add_up(spark, corpus, monkeypatch):
     assert {(r.doc_id, r.score and round(r.score, 6), r.rejected) for r in whole} == {
         (r.doc_id, r.score and round(r.score, 6), r.rejected) for r in parts
     }
+    assert len(whole) == len(parts) == len(rows)
+    for a, b in zip(whole, parts):
+        assert (a.doc_id, a.n_bytes, a.rejected, a.threshold) == (b.doc_id, b.n_bytes, b.rejected, b.threshold)
+        assert a.score == (b.score and pytest.approx(b.score, abs=1e-6))
+
+
+def test_repeated_rows_count_in_every_quantile(spark, monkeypatch):
+    """Held-out rows that repeat a document weigh as many rows with any number of shards."""
+    rows = [(i, "ka lo mi " * (1 + i % 7) + "ter" * (i % 5), "aa", "own", 9.0) for i in range(60)]
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % quality.FOLDS == 0
+    held = min(r.doc_id for r in spark.createDataFrame(rows, SCHEMA).where(fold).collect())
+    rows += [(held, "zz qq xx ww " * 9, "aa", "own", 9.0)] * 40
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    whole = [r.threshold for r in quality.scores(docs, marks).collect()]
+    monkeypatch.setattr(quality, "SHARD_ROWS", 20)
+    parts = [r.threshold for r in quality.scores(docs, marks).collect()]
+    assert len(whole) == len(parts) == len(rows) and set(whole) == set(parts)
 
 
 def test_without_labels_or_documents(spark, corpus):
