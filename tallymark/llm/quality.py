@@ -28,9 +28,6 @@ ORDER = 5
 QUANTILE = 0.985
 # Good documents whose id falls into one of FOLDS parts set the thresholds.
 FOLDS = 5
-# The threshold lies this part of its distance from the median, over the root of
-# the number of documents behind it, above the quantile.
-WIDEN = 3.0
 # So many bytes at the language's median count towards every score.
 PRIOR_BYTES = 100
 # n-grams in one shard: 12 bytes each in every worker.
@@ -240,9 +237,14 @@ def _quantiles(scores: DataFrame, column: str, share: float, name: str) -> DataF
     )
 
 
-def _widened(limit: str, usual: str) -> Column:
-    """A quantile of few documents lies too low by chance: the more, the fewer they are."""
-    return F.col(limit) + (F.col(limit) - F.col(usual)) * WIDEN / F.sqrt(f"{limit}_n")
+def _threshold(quantile: float) -> Column:
+    """The quantile of a language, or of all where the language has too few documents for it.
+
+    A quantile needs 1 / (1 - quantile) documents: with fewer it is their largest
+    score.
+    """
+    enough = F.col("limit_n") * F.lit(1 - quantile) >= 1
+    return F.coalesce(F.when(enough, F.col("limit")), "limit_all")
 
 
 def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -250,7 +252,8 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
 
     ``labels`` holds doc_id and quality; documents with quality 1 are trusted.
     ``score`` is NULL for NULL and empty texts; these are rejected.  Rows with a
-    NULL or unknown language are held against the quantile of all languages.
+    NULL or unknown language, and languages with too few held-out documents for a
+    quantile of their own, are held against the quantile of all languages.
     Without any trusted document the threshold is NULL and only empty texts go.
     """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
@@ -284,7 +287,7 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     held = settled.where("held AND score IS NOT NULL")
     limit = F.broadcast(_quantiles(held, "score", quantile, "limit"))
     limit_all = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "score", quantile, "limit_all").drop("lang"))
-    threshold = F.coalesce(_widened("limit", "usual"), _widened("limit_all", "usual_all"))
+    threshold = _threshold(quantile)
     return every_row.join(limit, "lang", "left").join(limit_all, how="left").select(
         *common.KEY,
         "lang",

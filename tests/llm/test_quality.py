@@ -149,3 +149,15 @@ def test_held_out_accuracy(spark):
     good = [r.rejected for r in rows if r.quality == 1]
     bad = [r.rejected for r in rows if r.quality == 0]
     assert sum(good) <= 0.08 * len(good) and sum(bad) >= 0.75 * len(bad)
+
+
+def test_held_out_accuracy_of_a_small_table(spark):
+    """Too few held-out documents by language for a quantile of each: that of all holds."""
+    folder = "/root/testdata/sf0.01"
+    docs, marks = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    train = marks.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    rows = quality.scores(docs, train).join(marks.join(train, "doc_id", "left_anti"), "doc_id").collect()
+    good = [r.rejected for r in rows if r.quality == 1]
+    bad = [r.rejected for r in rows if r.quality == 0]
+    assert sum(good) <= 0.08 * len(good) and sum(bad) >= 0.75 * len(bad)
+    assert len({r.threshold for r in rows}) == 1
