@@ -28,9 +28,6 @@ from tallymark.session import reliable_copy
 
 # At most about so many labelled texts of each label are learned from.
 SAMPLE = 15_000
-# Entries looked at, and entries in the lexicon; the best ones stay.
-CANDIDATES = 30_000
-LEXICON = 2_000
 MIN_TEXTS = 4
 MIN_LIFT = 6.0
 SHORTEST, LONGEST = 3, 10
@@ -103,57 +100,39 @@ def features(text: str | None, matcher: ahocorasick.Automaton | None) -> list[fl
     return [math.log1p(total), 100 * total / (n + 20), total / math.sqrt(n + 20)]
 
 
-def _beginnings(plain: str) -> set[str]:
-    return {w[:n] for w in set(plain.split()) for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+_COUNTS = "entry string, toxic int, texts long, hits long"
+_HELD = 500_000  # entries that a task counts before it hands them on
 
 
-def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
+def _count_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts and hits of every beginning of a word, by label; words under the entry ``""``."""
+    texts: Counter[tuple[str, int]] = Counter()
+    hits: Counter[tuple[str, int]] = Counter()
+    words: Counter[int] = Counter()
     for batch in batches:
-        for text in batch.column("text"):
-            counts.update(_beginnings(folded(text.as_py())))
-            if len(counts) > 500_000:
-                yield _rows(counts)
-                counts = Counter()
-    yield _rows(counts)
-
-
-def _rows(counts: Counter[str]) -> pa.RecordBatch:
+        for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+            own: Counter[str] = Counter()
+            plain = folded(text.as_py()).split()
+            for word, times in Counter(plain).items():
+                for n in range(SHORTEST, min(len(word), LONGEST) + 1):
+                    own[word[:n]] += times
+            words[label] += len(plain)
+            for entry, times in own.items():
+                texts[entry, label] += 1
+                hits[entry, label] += min(times, 20)
+            if len(texts) > _HELD:
+                yield _rows(texts, hits)
+                texts, hits = Counter(), Counter()
+    yield _rows(texts, hits)
+    yield _rows(Counter({("", label): 0 for label in words}), Counter({("", label): n for label, n in words.items()}))
+
+
+def _rows(texts: Counter[tuple[str, int]], hits: Counter[tuple[str, int]]) -> pa.RecordBatch:
+    keys = list(texts)
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["entry", "texts"])
-
-
-def _count_hits(entries: list[str]):
-    """Texts and hits of every entry, by label."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = set(entries)
-        texts: Counter[tuple[str, int]] = Counter()
-        hits: Counter[tuple[str, int]] = Counter()
-        words: Counter[int] = Counter()
-        for batch in batches:
-            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                own: Counter[str] = Counter()
-                plain = folded(text.as_py()).split()
-                for word, times in Counter(plain).items():
-                    for n in range(SHORTEST, min(len(word), LONGEST) + 1):
-                        if word[:n] in known:
-                            own[word[:n]] += times
-                words[label] += len(plain)
-                for entry, times in own.items():
-                    texts[entry, label] += 1
-                    hits[entry, label] += min(times, 20)
-        keys = list(texts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([e for e, _ in keys], pa.string()), pa.array([t for _, t in keys], pa.int32()),
-             pa.array([texts[k] for k in keys], pa.int64()), pa.array([hits[k] for k in keys], pa.int64())],
-            names=["entry", "toxic", "texts", "hits"])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([""] * len(words), pa.string()), pa.array(list(words), pa.int32()),
-             pa.array([0] * len(words), pa.int64()), pa.array(list(words.values()), pa.int64())],
-            names=["entry", "toxic", "texts", "hits"])
-
-    return run
+        [pa.array([e for e, _ in keys], pa.string()), pa.array([t for _, t in keys], pa.int32()),
+         pa.array([texts[k] for k in keys], pa.int64()), pa.array([hits[k] for k in keys], pa.int64())],
+        names=["entry", "toxic", "texts", "hits"])
 
 
 def _featured(matcher_of: dict[str, float]):
@@ -193,17 +172,13 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicit
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return Toxicity({}, (-10.0, 0.0, 0.0, 0.0))
-    counted = (
-        texts.where("toxic = 1").select("text").mapInArrow(_count_beginnings, "entry string, texts long")
-        .groupBy("entry").agg(F.sum("texts").alias("texts")).where(F.col("texts") >= MIN_TEXTS)
-    )
-    entries = [r.entry for r in counted.orderBy(F.desc("texts"), "entry").limit(CANDIDATES).collect()]
-    rows = texts.mapInArrow(_count_hits(entries), "entry string, toxic int, texts long, hits long").groupBy(
-        "entry", "toxic").agg(F.sum("texts").alias("texts"), F.sum("hits").alias("hits")).collect()
-    found = {(r.entry, r.toxic): (r.texts, r.hits) for r in rows}
-    weights = _weights(entries, found, sizes)
-    lexicon = dict(sorted(weights.items(), key=lambda x: (-x[1][1], x[0]))[:LEXICON])
-    matched = {e: w for e, (w, _) in lexicon.items()} | {
+    by_label = [
+        F.sum(F.when(F.col("toxic") == label, F.col(c)).otherwise(0)).alias(f"{c}{label}")
+        for c in ("texts", "hits") for label in (0, 1)
+    ]
+    counted = reliable_copy(texts.mapInArrow(_count_hits, _COUNTS).groupBy("entry").agg(*by_label))
+    weights = _weights(counted, sizes)
+    matched = {e: w for e, w in weights.items()} | {
         e: 0.0 for e in (folded(x)[1:] for x in EXCEPTIONS)
     }
     table = texts.mapInArrow(_featured(matched), "toxic int, f0 double, f1 double, f2 double")
@@ -212,28 +187,25 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicit
     return Toxicity(matched, (float(fit.intercept), *map(float, fit.coefficients)))
 
 
-def _weights(entries: list[str], found: dict, sizes: dict[int, int]) -> dict[str, tuple[float, float]]:
-    """entry -> (weight, value): the logarithm of how much denser hits are in toxic texts.
+def _weights(counted: DataFrame, sizes: dict[int, int]) -> dict[str, float]:
+    """entry -> weight: the logarithm of how much denser hits are in toxic texts.
 
-    Entries must be clearly more usual in toxic texts; the value that orders
-    them counts the toxic texts they tell apart.
+    Entries must be clearly more usual in toxic texts.  All that are come to the
+    driver: the bounded sample bounds them.
     """
-    words = {label: max(1, found.get(("", label), (0, 1))[1]) for label in (0, 1)}
-    chosen = {}
-    for entry in entries:
-        (t1, h1), (t0, h0) = (found.get((entry, label), (0, 0)) for label in (1, 0))
-        dense = ((h1 + 0.5) / words[1]) / ((h0 + 0.5) / words[0])
-        usual = ((t1 + 0.5) / sizes[1]) / ((t0 + 0.5) / sizes[0])
-        lift = math.sqrt(dense * usual)
-        if t1 >= MIN_TEXTS and lift >= MIN_LIFT and usual > 2:
-            chosen[entry] = (math.log(lift), t1 * math.log(lift))
+    words = counted.where("entry = ''").first()
+    words0, words1 = max(1, words["hits0"]), max(1, words["hits1"])
+    dense = ((F.col("hits1") + 0.5) / words1) / ((F.col("hits0") + 0.5) / words0)
+    usual = ((F.col("texts1") + 0.5) / sizes[1]) / ((F.col("texts0") + 0.5) / sizes[0])
+    clear = (F.col("texts1") >= MIN_TEXTS) & (F.col("lift") >= MIN_LIFT) & (F.col("usual") > 2)
+    chosen = counted.select("entry", "texts1", usual.alias("usual"), F.sqrt(dense * usual).alias("lift")).where(clear)
+    found = {r.entry: (r.texts1, math.log(r.lift)) for r in chosen.select("entry", "texts1", "lift").collect()}
     # A beginning says nothing of its own when one longer entry stands for nearly all its texts.
     longer: Counter[str] = Counter()
-    for entry in chosen:
-        t1 = found[entry, 1][0]
+    for entry, (t1, _) in found.items():
         for n in range(SHORTEST, len(entry)):
             longer[entry[:n]] = max(longer[entry[:n]], t1)
-    return {e: v for e, v in chosen.items() if longer[e] < 0.9 * found[e, 1][0]}
+    return {e: w for e, (t1, w) in sorted(found.items()) if longer[e] < 0.9 * t1}
 
 
 def _scorer(model: Toxicity):

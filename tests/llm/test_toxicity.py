@@ -58,3 +58,14 @@ def test_sample_bound_is_kept(spark, learned):
     docs, labels, *_ = learned
     rows = toxicity.labelled_sample(docs, labels, 20).groupBy("toxic").count().collect()
     assert all(0 < r["count"] <= 40 for r in rows)
+
+
+def test_rare_telling_words_are_learned(spark):
+    """A telling word among tens of thousands of commoner harmless ones gets a weight."""
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    plain = [" ".join(name(i) + "xxxxxx" for i in range(part, 9000, 2)) for part in (0, 1)]
+    rows = [(i, plain[i % 2], i // 2 % 2) for i in range(80)]
+    rows += [(100 + i, plain[i % 2] + " zquorf", 1) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learned(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert any(w > 0 and e.startswith("zquo") for e, w in model.weights.items())
