@@ -1,8 +1,8 @@
 """Document fingerprints by winnowing.
 
-A text is read as words; every run of K words is hashed, and of every WINDOW
+A text is read as words, very long ones as characters; every run of K words is hashed, and of every WINDOW
 neighbouring hashes the smallest is chosen, between equals the rightmost.  Two
-texts that share K + WINDOW - 1 words in a row share a chosen hash for certain.
+texts that share K + WINDOW - 1 of these in a row share a chosen hash for certain.
 Chosen hashes keep their place.  A hash (36 bits) and its place share one
 number, hash first, so that the smallest number is the wanted one.
 """
@@ -22,12 +22,14 @@ _LONG_WORD = 40
 
 
 def with_tokens(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Words between white space; single characters where words are very long."""
+    """Words between white space; a very long word is cut into its characters.
+
+    What a word becomes depends on that word alone, whatever surrounds it.
+    """
     words = F.split(text, r"[\x20\x09-\x0D]+")
-    return df.withColumn(name, words).withColumn(
-        name,
-        F.when(F.length(text) > _LONG_WORD * F.size(name), F.split(text, "")).otherwise(F.col(name)),
-    )
+    long = lambda w: F.length(w) > _LONG_WORD
+    cut = F.flatten(F.transform(name, lambda w: F.when(long(w), F.split(w, "")).otherwise(F.array(w))))
+    return df.withColumn(name, words).withColumn(name, F.when(F.exists(name, long), cut).otherwise(F.col(name)))
 
 
 def with_chosen(df: DataFrame, text: str, name: str, k: int = K, window: int = WINDOW) -> DataFrame:

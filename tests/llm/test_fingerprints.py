@@ -71,3 +71,12 @@ def test_repeated_rows_one_row_and_none(spark):
     only = run(spark, [(1, "abcdef", "x")])[0]
     assert only.edited == "abcdab" and hashlib.sha256(only.edited.encode()).hexdigest()
     assert run(spark, []) == []
+
+
+def test_text_without_blanks_keeps_its_tokens_beside_prose(spark):
+    block = "".join(chr(0x4E00 + i * i % 5003) for i in range(3000))
+    prose = " ".join(f"word{i}" for i in range(400))
+    got = {r.doc_id: r for r in run(spark, [(2, block, "x"), (1, prose, "x")])}
+    assert got[2].edited == block[:2000] + prose[:1000]
+    shared = len(set(got[2].hashes) & {v >> 27 for v in got[2].edited_chosen})
+    assert shared >= 0.6 * len(got[2].hashes) and got[2].near_edited > 0.5
