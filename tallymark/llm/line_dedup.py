@@ -20,6 +20,8 @@ from tallymark.llm import common
 from tallymark.session import reliable_copy
 
 MIN_WORDS = 5
+# Lines with fewer words take part, in the exact comparison only, from so many characters on.
+MIN_CHARS = 40
 
 # Line numbers that may be broadcast: 4 bytes each, and a key for every document.
 BROADCAST_LINES = 4_000_000
@@ -40,13 +42,17 @@ def word_count(normal: Column) -> Column:
     )
 
 
+def _takes_part(normal: Column, n: Column, min_words: int) -> Column:
+    return (n >= min_words) | (F.length(normal) >= MIN_CHARS)
+
+
 def _long_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_key, no, normal, n) of every line with enough words."""
+    """(doc_id, text_key, no, normal, n) of every line with enough words or characters."""
     return (
         common.keyed(docs, F.posexplode_outer(F.split("text", "\n")).alias("no", "line"))
         .select(*_PLACE, normal_form(F.col("line")).alias("normal"))
         .withColumn("n", word_count(F.col("normal")))
-        .where(F.col("n") >= min_words)
+        .where(_takes_part(F.col("normal"), F.col("n"), min_words))
     )
 
 
@@ -70,17 +76,18 @@ def first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Earlier is the smaller doc_id (NULL last), then the text's hash, then the
     line number.  Distinct lines are told apart by 128 bits of hash; ``line`` is
-    half of them.
+    half of them.  Lines with fewer than ``min_words`` words have no halves.
     """
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), *_PLACE)
     normal = F.col("normal")
+    halves = F.when(F.col("n") >= min_words, _halves(normal, F.col("n")))
     return (
         _long_lines(docs, min_words)
         .select(
             F.xxhash64(normal).alias("line"),
             F.xxhash64(F.lit(1), normal).alias("line2"),
             place.alias("place"),
-            _halves(normal, F.col("n")).alias("halves"),
+            halves.alias("halves"),
         )
         .groupBy("line", "line2")
         .agg(F.min(F.struct("place", "halves")).alias("first"))
@@ -236,6 +243,8 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True) -
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True) -> DataFrame:
     """``docs`` with every line of ``min_words`` words or more kept only where it is earliest.
 
+    So is a line of fewer words with MIN_CHARS characters or more, but it goes
+    for an equal line alone: one word of few is too much for an edit.
     A line goes when an equal line, or one within one edit of a word, stands
     earlier anywhere in the table: in a document with a smaller doc_id (NULL is
     last), or further up in the same document.  Whether that earlier line goes
@@ -253,7 +262,8 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True)
     # One-element lists, exploded: what is made before them is not made again by later expressions.
     split_up = joined.select("*", F.explode_outer(F.array(F.split("text", "\n"))).alias("lines"))
     short = F.transform(
-        "lines", lambda line, i: F.when(word_count(normal_form(line)) < min_words, i)
+        "lines",
+        lambda line, i: F.when(~_takes_part(normal_form(line), word_count(normal_form(line)), min_words), i),
     )
     stay = F.array_sort(
         F.array_union(F.filter(short, lambda i: i.isNotNull()), F.coalesce("nos", F.array().cast("array<int>")))

@@ -88,3 +88,13 @@ def test_repeated_rows_are_one_document(spark):
 
 def test_empty_table(spark):
     assert line_dedup.deduplicated(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_lines_of_few_words(spark):
+    han, url = "".join(chr(0x4E00 + i) for i in range(80)), "https://example.org/" + "path/" * 20
+    four = "internationalization administration responsibilities "
+    rows = [(1, f"{han}\n{url}\n{four}alpha\nshort line", "x"),
+            (2, f"{url.upper()}\nown\n{han}\n{han}x\n{four}beta\nshort line", "x"), (3, f"{four}  alpha\n{url}y", "x")]
+    got = result(spark, rows)
+    assert got[1] == rows[0][1]
+    assert got[2] == f"own\n{han}x\n{four}beta\nshort line" and got[3] == f"{url}y"
