@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm import (
     chat,
+    collocations,
     decontaminate,
     fingerprints,
     jaccard,
@@ -123,6 +124,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(read(spark, sf_dir, "documents"))
+    return collocations.top(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard_join": op2_jaccard_join,
@@ -134,6 +140,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op12_collocations": op12_collocations,
 }
 
 # The same places, counted by comparing every 13-word run of every document.
@@ -226,7 +233,45 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+t AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM s),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS k, x AS phrase, count(*) AS n FROM t GROUP BY ALL
+  UNION ALL SELECT lang, 2, x || ' ' || y, count(*) FROM t WHERE y IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z, count(*) FROM t WHERE z IS NOT NULL GROUP BY ALL
+),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+parts AS MATERIALIZED (
+  SELECT lang, phrase, a, 1 AS i, w[1] AS head, array_to_string(w[2 : k], ' ') AS rest FROM c
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3
+), cut AS (
+  SELECT parts.lang, parts.phrase, a, i, x.n AS l, y.n AS r,
+         (1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n::HUGEINT) AS score
+  FROM parts JOIN f x ON x.lang = parts.lang AND x.phrase = head
+  JOIN f y ON y.lang = parts.lang AND y.phrase = rest
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[1 : 2], ' ') AS phrase FROM c WHERE k = 3
+    UNION ALL SELECT lang, a, array_to_string(w[2 : 3], ' ') FROM c WHERE k = 3) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM best LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLES = {
+    "op12_collocations": _OP12,
     "op3_chat_formatting": _OP3,
     "op2_jaccard_join": _OP2,
     "op1_url_filters": _OP1,
