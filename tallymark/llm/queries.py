@@ -16,8 +16,10 @@ from tallymark.llm import (
     line_dedup,
     packing,
     quality,
+    secret_scan,
     toxicity,
     url_filters,
+    variants,
 )
 from tallymark.llm.common import read
 
@@ -124,11 +126,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    secrets = F.col("secrets")
+    base = F.filter(secrets, lambda x: x["kind"] != "literal")
+    return found.select(
+        "doc_id",
+        *[secret_scan.of_kind(secrets, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.as_text(secrets).alias("spans"),
+    )
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.collocations(read(spark, sf_dir, "documents"))
     return collocations.top(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard_join": op2_jaccard_join,
@@ -140,7 +158,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_secret_scan": op11_secret_scan,
     "op12_collocations": op12_collocations,
+    "op13_variants": op13_variants,
 }
 
 # The same places, counted by comparing every 13-word run of every document.
@@ -270,7 +290,56 @@ WHERE longer IS NULL OR 100 * longer < 50 * a
 QUALIFY rank <= 2000
 """
 
+# The checksum is spelled out: a table of 256 steps, then one step a byte.
+_OP13 = r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i::UBIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i)
+), r AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), b AS (
+  SELECT doc_id, run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [unicode(x)::UBIGINT]
+         ELSE [192 + (unicode(x) >> 6)::UBIGINT, 128 + (unicode(x) % 64)::UBIGINT] END)) AS bytes
+  FROM r
+), h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::UBIGINT, bytes),
+    lambda c, x: xor(c >> 8, tab[(xor(c, x) % 256 + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS h
+  FROM b, tab
+), v AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), del AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)
+), near AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM del a JOIN del b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT del.word, del.n, v.word, v.n FROM del JOIN v ON del.rest = v.word
+  UNION SELECT v.word, v.n, del.word, del.n FROM del JOIN v ON del.rest = v.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS form_n,
+         min(other) FILTER (other_n = (SELECT max(other_n) FROM near y WHERE y.word = near.word)) AS form
+  FROM near GROUP BY word
+), f AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), way(word, here, step) AS (
+  SELECT word, word, 0 FROM f
+  UNION ALL SELECT way.word, f.form, step + 1 FROM way JOIN f ON f.word = way.here WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near, form_n
+FROM f JOIN (SELECT word, arg_max(here, step) AS root FROM way GROUP BY word) USING (word)
+"""
+
 ORACLES = {
+    "op13_variants": _OP13,
     "op12_collocations": _OP12,
     "op3_chat_formatting": _OP3,
     "op2_jaccard_join": _OP2,
