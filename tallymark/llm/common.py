@@ -53,6 +53,15 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), *columns)
 
 
+def beside(docs: DataFrame, *own: str, **added: Column) -> DataFrame:
+    """The caller's whole row as ``row``, with some of its columns and added ones beside it.
+
+    Whatever columns the caller has, they cannot clash with those: ``row.*`` gives
+    them back.
+    """
+    return docs.select(F.struct("*").alias("row"), *own, *[c.alias(name) for name, c in added.items()])
+
+
 def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
 

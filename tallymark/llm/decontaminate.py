@@ -187,5 +187,5 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     dirty = report(docs, benchmark, size).where("contaminated").select(*common.KEY).distinct()
-    plain = docs.withColumn("text_key", F.xxhash64("text"))
-    return plain.join(dirty, common.same_document(plain, dirty), "left_anti").select(*docs.columns)
+    plain = common.beside(docs, "doc_id", text_key=F.xxhash64("text"))
+    return plain.join(dirty, common.same_document(plain, dirty), "left_anti").select("row.*")

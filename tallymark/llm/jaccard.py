@@ -348,8 +348,8 @@ def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFram
         {"doc_id": "kept_id", "text_key": "kept_key"}
     )
     wordless = rows.where("component IS NULL").select("doc_id", "text_key").distinct()
-    own = docs.withColumn("text_key", F.xxhash64("text"))
+    own = common.beside(docs, "doc_id", text_key=F.xxhash64("text"))
     match = own["doc_id"].eqNullSafe(kept["kept_id"]) & (own["text_key"] == kept["kept_key"])
     with_words = own.join(kept, match, "left_semi").dropDuplicates(list(common.KEY))
     without = own.join(wordless, common.same_document(own, wordless), "left_semi")
-    return with_words.unionByName(without).select(*docs.columns)
+    return with_words.unionByName(without).select("row.*")

@@ -110,11 +110,17 @@ def _with_partner(firsts: DataFrame) -> DataFrame:
     return firsts.drop("halves").join(lines, "line").drop("line")
 
 
+def _broadcast_if_few(lists: DataFrame, name: str) -> DataFrame:
+    """One list a document, with a broadcast hint where all lists together are short enough."""
+    numbers = lists.agg(F.sum(F.size(name))).first()[0] or 0
+    return F.broadcast(lists) if numbers <= BROADCAST_LINES else lists
+
+
 def _their_words(docs: DataFrame, places: DataFrame) -> DataFrame:
     """(id, doc_id, text_key, no, words, first_h, last_h), ids in order of place."""
     line = F.struct("no", "first_h", "last_h")
     lists = reliable_copy(places.groupBy(*common.KEY).agg(F.collect_list(line).alias("wanted")))
-    wanted = common.broadcast_if_small(lists)
+    wanted = _broadcast_if_few(lists, "wanted")
     texts = common.keyed(docs, "text")
     lines = (
         texts.join(wanted, common.same_document(texts, wanted))
@@ -236,8 +242,7 @@ def kept_lines(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True) -
         same = common.same_document(stay, gone) & (stay["no"] == gone["no"])
         stay = stay.join(gone, same, "left_anti")
     lists = reliable_copy(stay.groupBy(*common.KEY).agg(F.collect_list("no").alias("nos")))
-    numbers = lists.agg(F.sum(F.size("nos"))).first()[0] or 0
-    return F.broadcast(lists) if numbers <= BROADCAST_LINES else lists
+    return _broadcast_if_few(lists, "nos")
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True) -> DataFrame:
@@ -256,9 +261,9 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True)
     """
     added = ("n_lines", "n_dropped", "old_text")
     own = [c for c in docs.columns if c not in added]
-    rows = docs.select(*own, F.xxhash64("text").alias("text_key"))
+    rows = common.beside(docs.select(*own), "doc_id", "text", text_key=F.xxhash64("text"))
     kept = kept_lines(docs, min_words, near)
-    joined = rows.join(kept, common.same_document(rows, kept), "left").select(*[rows[c] for c in own], "nos")
+    joined = rows.join(kept, common.same_document(rows, kept), "left").select("row", "text", "nos")
     # One-element lists, exploded: what is made before them is not made again by later expressions.
     split_up = joined.select("*", F.explode_outer(F.array(F.split("text", "\n"))).alias("lines"))
     short = F.transform(
@@ -276,9 +281,9 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True)
         F.when(known, F.size("lines")).otherwise(0).cast("long").alias("n_lines"),
         F.when(known, F.size("lines") - F.size("stay")).otherwise(0).cast("long").alias("n_dropped"),
     )
-    done = placed.select(*own, F.explode_outer(F.array(result)).alias("done"))
+    done = placed.select("row", "text", F.explode_outer(F.array(result)).alias("done"))
     return done.select(
-        *[c for c in own if c != "text"],
+        *[F.col("row")[c].alias(c) for c in own if c != "text"],
         "done.text",
         "done.n_lines",
         "done.n_dropped",

@@ -273,7 +273,7 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     raw = _scored(texts.select(*common.KEY, "text", "lang", "held"), table)
     mean = reliable_copy(raw.withColumn("mean", F.col("nats") / F.nullif("n", F.lit(0))))
     held = mean.where("held AND mean IS NOT NULL")
-    usual = F.broadcast(_quantiles(held, "mean", 0.5, "usual"))
+    usual = common.broadcast_if_small(_quantiles(held, "mean", 0.5, "usual"))
     every = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "mean", 0.5, "usual_all").drop("lang"))
 
     def drawn(rows: DataFrame) -> DataFrame:
@@ -285,7 +285,7 @@ def scores(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     settled = reliable_copy(drawn(mean))
     every_row = settled.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     held = settled.where("held AND score IS NOT NULL")
-    limit = F.broadcast(_quantiles(held, "score", quantile, "limit"))
+    limit = common.broadcast_if_small(_quantiles(held, "score", quantile, "limit"))
     limit_all = F.broadcast(_quantiles(held.withColumn("lang", F.lit("")), "score", quantile, "limit_all").drop("lang"))
     threshold = _threshold(quantile)
     return every_row.join(limit, "lang", "left").join(limit_all, how="left").select(
@@ -302,6 +302,6 @@ def accepted(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     """The rows of ``docs`` that are not rejected, with all their columns."""
     judged = scores(docs, labels, quantile).where("rejected").select(*common.KEY).distinct()
     gone = reliable_copy(judged)
-    rows = docs.withColumn("text_key", F.xxhash64("text"))
+    rows = common.beside(docs, "doc_id", text_key=F.xxhash64("text"))
     wanted = common.broadcast_if_small(gone)
-    return rows.join(wanted, common.same_document(rows, wanted), "left_anti").select(*docs.columns)
+    return rows.join(wanted, common.same_document(rows, wanted), "left_anti").select("row.*")

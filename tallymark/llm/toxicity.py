@@ -119,7 +119,7 @@ def _count_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words[label] += len(plain)
             for entry, times in own.items():
                 texts[entry, label] += 1
-                hits[entry, label] += min(times, 20)
+                hits[entry, label] += times
             if len(texts) > _HELD:
                 yield _rows(texts, hits)
                 texts, hits = Counter(), Counter()
@@ -149,18 +149,19 @@ def _featured(matcher_of: dict[str, float]):
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(text, toxic): labelled texts, of each label about ``sample`` at most.
 
-    Which ones follows from a hash of the id alone.
+    Which ones follows from a hash of the id alone.  An id with both labels is
+    toxic.
     """
-    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("labelled_id"), F.col("toxic").cast("int").alias("toxic")
-    ).dropDuplicates(["labelled_id"])
+    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy(
+        F.col("doc_id").alias("labelled_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     part = F.pmod(F.xxhash64(F.lit("sample"), "labelled_id"), F.lit(1_000_000))
     share = F.lit(0)
     for label, n in sizes.items():
         share = F.when(F.col("toxic") == label, F.lit(min(1_000_000, sample * 1_000_000 // n))).otherwise(share)
     chosen = common.broadcast_if_small(known.where(part < share))
-    return docs.join(chosen, docs["doc_id"] == chosen["labelled_id"]).select("text", "toxic")
+    texts = docs.select("doc_id", "text")
+    return texts.join(chosen, texts["doc_id"] == chosen["labelled_id"]).select("text", "toxic")
 
 
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicity:

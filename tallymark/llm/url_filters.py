@@ -29,7 +29,9 @@ RULES = (
 
 
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    """The rules as a table of literals: nothing is sent to Python workers."""
+    rows = [F.struct(*[F.lit(x).alias(c) for c, x in zip(("host", "path", "verdict"), rule)]) for rule in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def host_of(url: Column) -> Column:
@@ -145,7 +147,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
     """
     added = ("host", "path", "rule", "verdict")
     kept = [c for c in pages.columns if c not in added]
-    split = pages.select(*kept, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    split = common.beside(pages.select(*kept), host=host_of(F.col("url")), path=path_of(F.col("url")))
     found = sweep(split.select("host", "path").distinct(), rules)
     found = found.select(F.col("host").alias("rule_for_host"), F.col("path").alias("rule_for_path"),
                          F.col("rule").alias("found"))
@@ -154,7 +156,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
         (F.col("host") == F.col("rule_for_host")) & (F.col("path") == F.col("rule_for_path")),
         "left",
     ).select(
-        *kept,
+        "row.*",
         "host",
         "path",
         F.concat(F.col("found")["host"], F.col("found")["path"]).alias("rule"),
