@@ -12,6 +12,7 @@ queue; the powers of two are looked up one by one.
 from __future__ import annotations
 
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 from itertools import chain
@@ -27,33 +28,37 @@ SENTENCE_PENALTY = 2.0
 FORCED_PENALTY = 48.0
 
 _CHUNK = 400_000  # ids in one run of the dynamic program; open ends are carried on
-_WORDS = 400_000  # words whose ids a worker keeps
-_KEPT_IDS = 4_000_000
+_WORDS = 600_000  # words whose ids a worker keeps
+_TEXTS = 1_000_000  # characters of texts that are looked up together
 
 
 _SENTENCE_ENDS = frozenset((".", "!", "?", "\n"))
-
-
-def _latin(word: str) -> str:
-    """Lower-case form of a word of Latin letters and one last mark, else nothing."""
-    return word.lower() if len(word) > 1 and max(word) < "ɐ" and "İ" not in word and word[:-1].isalpha() else ""
+# One stop or comma behind a letter and before a blank is a token of its own.
+_MARK = re.compile("(?<=[a-zA-Zß-ɏ])([.,])(?=[ \n]|$)")
 
 
 class WordIds:
     """Ids of texts, by way of the ids of their words between blanks and line ends.
 
     The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its words one after the other.
+    text are those of its words one after the other.  Words of Latin letters, which
+    its normalizer and splitter leave as they are, go to a copy without those two;
+    all others to the tokenizer itself.  When a worker has learned ``_WORDS`` words
+    it forgets those that it has needed least.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        known = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(known.values()) + 1, bool)
+        self.last[[i for token, i in known.items() if token.endswith("</w>")]] = True
         self.index: dict[str, int] = {}
         self.size = 0
         self.count = 0
@@ -61,8 +66,8 @@ class WordIds:
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
         self.ends = np.zeros(1 << 14, bool)
-        self._keep(["\n"], [[]])
-        self._learn({".", ","})
+        self.used = np.zeros(1 << 14, np.int64)
+        self._keep(["", "\n"], np.empty(0, np.uint32), np.zeros(2, np.int64))
 
     def _grown(self, name: str, needed: int) -> np.ndarray:
         old = getattr(self, name)
@@ -71,72 +76,79 @@ class WordIds:
             setattr(self, name, old)
         return old
 
-    def _keep(self, words: list[str], ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lengths.sum())
+    def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         rows = slice(self.count, self.count + len(words))
-        self._grown("flat", self.size + total)[self.size : self.size + total] = np.fromiter(
-            chain.from_iterable(ids), np.uint32, total
-        )
+        self._grown("flat", self.size + len(ids))[self.size : self.size + len(ids)] = ids
         self._grown("lengths", rows.stop)[rows] = lengths
         self._grown("starts", rows.stop)[rows] = self.size + np.cumsum(lengths) - lengths
         self._grown("ends", rows.stop)[rows] = [w[-1:] in _SENTENCE_ENDS for w in words]
+        self._grown("used", rows.stop)[rows] = 0
         self.index.update(zip(words, range(rows.start, rows.stop)))
-        self.size += total
+        self.size += len(ids)
         self.count = rows.stop
 
     def _learn(self, words: set[str]) -> None:
-        """Add words.  Latin ones share the ids of their bare lower-case form.
-
-        Case does not count, and a single stop or comma after letters is a token
-        of its own; beyond Latin letters neither is taken for granted.
-        """
-        index = self.index
-        words = {w for w in words if "<|" not in w} if (special := {w for w in words if "<|" in w}) else words
-        if special:  # may hold a special token, whose case counts
-            order = list(special)
-            self._keep(order, [e.ids for e in self.tokenizer.encode_batch_fast(order, add_special_tokens=False)])
-        plain = {w: w.lower() for w in words if w.isascii() or (max(w) < "ɐ" and w.isalpha() and "İ" not in w)}
-        bare = {
-            w: form[:-1]
-            for w in words
-            if (form := plain.get(w) or _latin(w)) and form[-1] in ".," and form[:-1].isalpha()
-        }
-        forms = {w: form for w, form in plain.items() if w not in bare}
-        first = {x for x in (*bare.values(), *forms.values()) if x not in index}
-        first.update(w for w in words if w not in plain and w not in bare)
-        if first:
-            order = list(first)
-            encoded = self.tokenizer.encode_batch_fast(order, add_special_tokens=False)
-            self._keep(order, [e.ids for e in encoded])
-        later = [w for w in words if w not in index]
-        if later:
-            self._keep(later, [
-                self._of(bare[w]) + self._of(w[-1]) if w in bare else self._of(forms[w]) for w in later
-            ])
-
-    def _of(self, word: str) -> list[int]:
-        i = self.index[word]
-        at = self.starts[i]
-        return self.flat[at : at + self.lengths[i]].tolist()
+        plain = [w for w in words if w.isalpha() and (w.isascii() or max(w) < "ɐ") and w.islower()]
+        if plain:
+            ids = np.array(self.letters.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+            lengths = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+            if len(lengths) == len(plain):
+                self._keep(plain, ids, lengths)
+                words = words.difference(plain)
+        if words:
+            order = list(words)
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(order, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            self._keep(order, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths)
+
+    def _forget(self) -> None:
+        """Keep at most half of the words: those needed most often since the last time."""
+        used = self.used[: self.count].copy()
+        least = max(2, int(np.partition(used, -(_WORDS // 2))[-(_WORDS // 2)]) + 1) if self.count > _WORDS // 2 else 1
+        used[:2] = least
+        kept = np.flatnonzero(used >= least)
+        names = list(self.index)
+        lengths = self.lengths[kept]
+        first = np.cumsum(lengths) - lengths
+        ids = self.flat[np.repeat(self.starts[kept] - first, lengths) + np.arange(int(lengths.sum()))]
+        self.index, self.size, self.count = {}, 0, 0
+        self._keep([names[i] for i in kept.tolist()], ids, lengths)
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``text``, and how many ids lie before each sentence end."""
-        words = text.replace("\n", " \n ").split(" ")
+        return self.of([text])[0]
+
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for several texts, whose unknown words are learned together."""
+        words: list[str] = []
+        sizes = []
+        for text in texts:
+            # Case does not count; beyond Latin letters that is left to the tokenizer.
+            if "<|" not in text and "İ" not in text and (text.isascii() or max(text) < "ɐ"):
+                text = text.lower()
+            own = _MARK.sub(r" \1", text).replace("\n", " \n ").split(" ")
+            words += own
+            sizes.append(len(own))
         found = list(map(self.index.get, words))
         if None in found:
             missing = {w for w, row in zip(words, found) if row is None}
-            if self.count + len(missing) > _WORDS or self.size > _KEPT_IDS:
+            if self.count + len(missing) > _WORDS:
                 self._forget()
                 missing = {w for w in words if w not in self.index}
             self._learn(missing)
             found = map(self.index.__getitem__, words)
         rows = np.fromiter(found, np.int64, len(words))
+        self.used[: self.count] += np.bincount(rows, minlength=self.count)
         lengths = self.lengths[rows]
         ends = np.cumsum(lengths)
-        total = int(ends[-1])
-        places = np.repeat(self.starts[rows] - (ends - lengths), lengths) + np.arange(total)
-        return self.flat[places], ends[self.ends[rows]]
+        ids = self.flat[np.repeat(self.starts[rows] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        marks = self.ends[rows]
+        out, word, at = [], 0, 0
+        for size in sizes:
+            own = ends[word : word + size]
+            out.append((ids[at : own[-1]], own[marks[word : word + size]] - at))
+            word, at = word + size, int(own[-1])
+        return out
 
 
 _workers: dict[str, WordIds] = {}
@@ -267,9 +279,23 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 _COLUMNS = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Documents in lots of about ``_TEXTS`` characters."""
+    doc_ids, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        doc_ids.append(doc_id)
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= _TEXTS:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, texts
+
+
 def _packer(path: str, length: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, stream = _tokenizer(path), _Stream(length)
+        words, stream = _tokenizer(path), _Stream(length)
         number = TaskContext.get().partitionId() << 33
 
         def flush(final: bool) -> Iterator[pa.RecordBatch]:
@@ -283,11 +309,11 @@ def _packer(path: str, length: int, end_id: int):
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids, sentences = encode(text.as_py() or "")
-                stream.add(doc_id, np.append(ids, np.uint32(end_id)), sentences)
-                if stream.size >= _CHUNK:
-                    yield from flush(False)
+            for doc_ids, texts in _together(batch):
+                for doc_id, (ids, sentences) in zip(doc_ids, words.of(texts)):
+                    stream.add(doc_id, np.append(ids, np.uint32(end_id)), sentences)
+                    if stream.size >= _CHUNK:
+                        yield from flush(False)
         if stream.size:
             yield from flush(True)
 
