@@ -33,8 +33,8 @@ _TEXTS = 1_000_000  # characters of texts that are looked up together
 
 
 _SENTENCE_ENDS = frozenset((".", "!", "?", "\n"))
-# One stop or comma behind a letter and before a blank is a token of its own.
-_MARK = re.compile("(?<=[a-zA-Zß-ɏ])([.,])(?=[ \n]|$)")
+# One stop or comma behind a letter and before a blank is a token of its own (İ has a mark in lower case).
+_MARK = re.compile("(?<=[a-zA-Zß-įı-ɏ])([.,])(?=[ \n]|$)")
 
 
 class WordIds:
