@@ -8,7 +8,7 @@ levels in a distributed table and have no such limit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import (
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.ordered import ranked
+from tallymark.session import reliable_copy
 
 MAX_LEVELS = 10_000  # label lists up to this length are fine on the driver
 
@@ -79,11 +80,49 @@ def of_column(levels: DataFrame, column: str) -> DataFrame:
 
 
 def encode_columns(df: DataFrame, columns: Sequence[str], levels: DataFrame, keep: bool = False) -> DataFrame:
-    """Replace several text columns by their indexes."""
-    encoded = df
-    for column in columns:
-        encoded = apply_levels(encoded, column, of_column(levels, column), f"__{column}", keep)
-    return encoded.select(*[F.col(f"__{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
+    """Replace several text columns by their indexes; values without one give NULL.
+
+    With ``keep`` these share one extra index after all others of their column.
+    Levels that are few altogether are broadcast, and the table is not shuffled.
+    Otherwise the cells of the table are laid out as (row, column, value), joined
+    with the levels once for all columns, and regrouped by row.
+    """
+    counted = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = dict.fromkeys(columns, 0) | {r["column"]: r["n"] for r in counted if r["column"] in columns}
+    encode = _encode_narrow if sum(sizes.values()) <= MAX_LEVELS else _encode_long
+    return encode(df, columns, levels, {c: F.lit(float(n)) if keep else F.lit(None).cast("double") for c, n in sizes.items()})
+
+
+def _encode_narrow(df: DataFrame, columns: Sequence[str], levels: DataFrame, unseen: Mapping[str, Column]) -> DataFrame:
+    rows = df.select(F.struct("*").alias("__row"))
+    for i, column in enumerate(columns):
+        own = of_column(levels, column).select(F.col("value").alias(f"__value_{i}"), F.col("index").alias(f"__index_{i}"))
+        rows = rows.join(F.broadcast(own), F.col("__row")[column] == F.col(f"__value_{i}"), "left").drop(f"__value_{i}")
+    indexes = {c: F.coalesce(F.col(f"__index_{i}"), unseen[c]) for i, c in enumerate(columns)}
+    return rows.select(*[indexes.get(c, F.col("__row")[c]).alias(c) for c in df.columns])
+
+
+def _encode_long(df: DataFrame, columns: Sequence[str], levels: DataFrame, unseen: Mapping[str, Column]) -> DataFrame:
+    # The numbers of the rows must not change between attempts of a task.
+    rows = reliable_copy(df.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id")))
+    cells = [
+        F.struct(
+            (F.col("row") if i == 0 else F.lit(None)).alias("row"),
+            F.lit(c).alias("column"),
+            F.col("row")[c].alias("value"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    laid_out = rows.select("id", F.inline(F.array(*cells)))
+    known = levels.select(F.col("column").alias("__column"), F.col("value").alias("__value"), "index")
+    found = laid_out.join(known, (F.col("column") == F.col("__column")) & (F.col("value") == F.col("__value")), "left")
+    names = {c: f"index_{i}" for i, c in enumerate(columns)}
+    regrouped = found.groupBy("id").agg(
+        F.first("row", ignorenulls=True).alias("row"),
+        *[F.max(F.when(F.col("column") == c, F.col("index"))).alias(n) for c, n in names.items()],
+    )
+    indexes = {c: F.coalesce(F.col(n), unseen[c]) for c, n in names.items()}
+    return regrouped.select(*[indexes.get(c, F.col("row")[c]).alias(c) for c in df.columns])
 
 
 def apply_levels(df: DataFrame, column: str, levels: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -125,7 +164,7 @@ def usable_categories(
         found = {c: n + (gaps[c] > 0) for c, n in found.items()}
     too_many = [c for c in columns if found[c] > limit]
     if too_many:
-        raise ValueError(f"too many levels for indicator columns: {', '.join(too_many)}")
+        raise ValueError(f"too many levels for label lists, use sparse.fit_slots: {', '.join(too_many)}")
     return [c for c in columns if found[c] > 1]
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.operators import encode
+from tallymark.operators import encode, sparse
 from tallymark.sources.readers import table
 
 
@@ -77,6 +77,39 @@ def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.vector_rows(model.transform(vectors), "o_orderkey", "indexed_features")
 
 
+def _many_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with nearly as many price levels as rows, beside columns of few levels."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.concat(F.lit("p"), F.round(F.col("o_totalprice") * 100).cast("long").cast("string")).alias("price"),
+        "o_orderpriority",
+        "o_orderstatus",
+        (F.col("o_custkey") % 7).cast("double").alias("n_seven"),
+    )
+
+
+def one_hot_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _many_levels(spark, sf_dir)
+    slots = sparse.fit_slots(orders, ["price", "o_orderpriority", "customer"], ["n_seven"])
+    return sparse.vector_cells(sparse.with_features(orders, "o_orderkey", slots), "o_orderkey", "features")
+
+
+def one_hot_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Slots of the orders of some customers, applied to all orders.
+    orders = _many_levels(spark, sf_dir)
+    some = orders.where(F.col("o_orderkey") % 3 > 0)
+    slots = sparse.fit_slots(some, ["o_orderstatus", "customer"], ["n_seven"], keep_unseen=True)
+    return sparse.vector_cells(sparse.with_features(orders, "o_orderkey", slots), "o_orderkey", "features")
+
+
+def encode_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _many_levels(spark, sf_dir)
+    columns = ["customer", "price", "o_orderpriority", "o_orderstatus"]
+    levels = encode.level_indexes(orders.where(F.col("o_orderkey") % 3 > 0), columns, "first_seen", by="o_orderkey")
+    return encode.encode_columns(orders, columns, levels, keep=True)
+
+
 QUERIES = {
     "string_index": string_index,
     "string_index_table": string_index_table,
@@ -87,6 +120,9 @@ QUERIES = {
     "feature_vector": feature_vector,
     "standard_scale": standard_scale,
     "vector_index": vector_index,
+    "one_hot_many": one_hot_many,
+    "one_hot_unseen": one_hot_unseen,
+    "encode_many": encode_many,
 }
 
 
@@ -104,7 +140,47 @@ _TYPE_SLOTS = f"""
          range((SELECT count(DISTINCT p_type) - 1 FROM part)) r(s)"""
 _TYPES = "(SELECT count(DISTINCT p_type) - 1 FROM part)"
 
+_MANY = """(SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer,
+    'p' || CAST(round(o_totalprice * 100) AS BIGINT) AS price, o_orderpriority, o_orderstatus,
+    CAST(o_custkey % 7 AS DOUBLE) AS n_seven FROM orders)"""
+_SOME = f"(SELECT * FROM {_MANY} WHERE o_orderkey % 3 > 0)"
+
+
+def _n(relation: str, column: str) -> str:
+    return f"(SELECT count(DISTINCT {column}) FROM {relation})"
+
+
+def _ones(relation: str, column: str, before: str, left_out: int) -> str:
+    return f"""SELECT o_orderkey, CAST({before} + idx AS INTEGER) AS slot, 1.0::DOUBLE AS value
+        FROM {_MANY} JOIN {_levels(relation, column, _BY_COUNT)} k ON {column} = k.value
+        WHERE idx < {_n(relation, column)} - {left_out}"""
+
+
+def _index(column: str) -> str:
+    return f"""LEFT JOIN (SELECT {column} AS v_{column},
+        CAST(row_number() OVER (ORDER BY min(o_orderkey), {column}) - 1 AS DOUBLE) AS i_{column}
+        FROM {_SOME} GROUP BY {column}) ON {column} = v_{column}"""
+
+
+_PRICES, _PRIORITIES = f"{_n(_MANY, 'price')} - 1", f"{_n(_MANY, 'o_orderpriority')} - 1"
+_MANY_COLUMNS = ("customer", "price", "o_orderpriority", "o_orderstatus")
+
 ORACLES = {
+    "one_hot_many": f"""
+        {_ones(_MANY, 'price', '0', 1)}
+        UNION ALL {_ones(_MANY, 'o_orderpriority', _PRICES, 1)}
+        UNION ALL {_ones(_MANY, 'customer', f'{_PRICES} + {_PRIORITIES}', 1)}
+        UNION ALL SELECT o_orderkey, CAST({_PRICES} + {_PRIORITIES} + {_n(_MANY, 'customer')} - 1 AS INTEGER), n_seven
+        FROM {_MANY} WHERE n_seven <> 0""",
+    "one_hot_unseen": f"""
+        {_ones(_SOME, 'o_orderstatus', '0', 0)}
+        UNION ALL {_ones(_SOME, 'customer', _n(_SOME, 'o_orderstatus'), 0)}
+        UNION ALL SELECT o_orderkey, CAST({_n(_SOME, 'o_orderstatus')} + {_n(_SOME, 'customer')} AS INTEGER), n_seven
+        FROM {_MANY} WHERE n_seven <> 0""",
+    "encode_many": f"""
+        SELECT o_orderkey, n_seven,
+               {', '.join(f'coalesce(i_{c}, CAST({_n(_SOME, c)} AS DOUBLE)) AS {c}' for c in _MANY_COLUMNS)}
+        FROM {_MANY} {' '.join(map(_index, _MANY_COLUMNS))}""",
     "string_index": f"""
         SELECT p_partkey, p_type, idx AS type_index
         FROM part JOIN {_levels('part', 'p_type', _BY_COUNT)} k ON p_type = value""",

@@ -15,7 +15,7 @@ _SEED = 7
 _NUMBERS = ("n_lines", "quantity", "discount", "tax", "n_returned")
 
 
-def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outcome_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order that has lines; label 1 when one of them was returned.
 
     The label follows from ``n_returned``, so a model that works finds it and
@@ -42,10 +42,10 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return split.split(_outcomes(spark, sf_dir), "o_orderkey", [0.7, 0.3])
+    return split.split(outcome_rows(spark, sf_dir), "o_orderkey", [0.7, 0.3])
 
 
-def _stages(numbers: tuple[str, ...] = _NUMBERS, scaled: bool = False) -> list:
+def outcome_stages(numbers: tuple[str, ...] = _NUMBERS, scaled: bool = False) -> list:
     return encode.feature_stages(
         ["o_orderpriority", "o_orderstatus"], numbers, keep_unseen=True, scaled=scaled
     )
@@ -57,7 +57,7 @@ def _scored(model, holdout: DataFrame) -> DataFrame:
 
 def _train_and_score(spark: SparkSession, sf_dir: str, kind: str, **params) -> DataFrame:
     learn, holdout = _parts(spark, sf_dir)
-    return _scored(train.fit(learn, _stages(), train.estimator(kind, **params)), holdout)
+    return _scored(train.fit(learn, outcome_stages(), train.estimator(kind, **params)), holdout)
 
 
 def ols_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def train_logistic_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn, holdout = _parts(spark, sf_dir)
     model = train.estimator("logistic", maxIter=100, weightCol="weight")
     weighted = closed_form.balanced_weights(learn, "label")
-    return _scored(train.fit(weighted, _stages(), model), holdout)
+    return _scored(train.fit(weighted, outcome_stages(), model), holdout)
 
 
 def train_logistic_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,8 +103,8 @@ def logistic_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The column that gives the label away is left out, so that there is an optimum.
     """
-    outcomes = _outcomes(spark, sf_dir)
-    stages = _stages(tuple(n for n in _NUMBERS if n != "n_returned"))
+    outcomes = outcome_rows(spark, sf_dir)
+    stages = outcome_stages(tuple(n for n in _NUMBERS if n != "n_returned"))
     model = train.fit(
         outcomes, stages, train.estimator("logistic", maxIter=200, regParam=0.0, tol=1e-12)
     )
@@ -118,21 +118,21 @@ def train_decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train_and_score(spark, sf_dir, "tree", maxDepth=5, maxBins=32, seed=_SEED)
 
 
-def _forest(spark: SparkSession, sf_dir: str):
-    learn, holdout = _parts(spark, sf_dir)
-    model = train.estimator(
+def _forest():
+    return train.estimator(
         "forest", numTrees=20, maxDepth=6, impurity="entropy", featureSubsetStrategy="8", seed=_SEED
     )
-    return train.fit(learn, _stages(), model), holdout
 
 
 def train_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(*_forest(spark, sf_dir))
+    learn, holdout = _parts(spark, sf_dir)
+    return _scored(train.fit(learn, outcome_stages(), _forest()), holdout)
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, holdout = _forest(spark, sf_dir)
-    names = encode.slot_names(model.transform(holdout))
+    outcomes = outcome_rows(spark, sf_dir)
+    model = train.fit(outcomes, outcome_stages(), _forest())
+    names = encode.slot_names(model.transform(outcomes))
     return train.importances(model.stages[-1], names)
 
 
@@ -147,7 +147,7 @@ def _price_model(learn: DataFrame):
         "boosted_regression", labelCol="o_totalprice", maxIter=10, maxDepth=4, stepSize=0.3,
         subsamplingRate=0.7, featureSubsetStrategy="0.7", minInstancesPerNode=3, seed=_SEED,
     )
-    return train.fit(learn, _stages(), model)
+    return train.fit(learn, outcome_stages(), model)
 
 
 def train_gbt_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,8 +176,8 @@ def blend_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         featureSubsetStrategy="0.7", seed=_SEED,
     )
     models = {
-        "forest_score": (train.fit(learn, _stages(), forest), "probability"),
-        "boosted_score": (train.fit(learn, _stages(), boosted), "prediction"),
+        "forest_score": (train.fit(learn, outcome_stages(), forest), "probability"),
+        "boosted_score": (train.fit(learn, outcome_stages(), boosted), "prediction"),
     }
     return train.blend(models, holdout, ["o_orderkey", "label"])
 
@@ -251,7 +251,7 @@ def training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     step per iteration, and never rises.
     """
     model = train.fit(
-        _outcomes(spark, sf_dir), _stages(), train.estimator("logistic", maxIter=100)
+        outcome_rows(spark, sf_dir), outcome_stages(), train.estimator("logistic", maxIter=100)
     ).stages[-1]
     steps = train.training_history(model)
     # As many rows as iterations, so a window over them is small.
@@ -263,20 +263,9 @@ def training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = _outcomes(spark, sf_dir)
-    features = encode.fit_features(outcomes, ["o_orderpriority", "o_orderstatus"], _NUMBERS)
-    rows = features.transform(outcomes).select("o_orderkey", "label", "features")
-    choices = {"regParam": [0.1, 0.01], "threshold": [0.6, 0.4]}
-    _, measured = train.cross_validate(
-        rows, "o_orderkey", train.estimator("logistic", maxIter=100), choices, folds=5
-    )
-    return measured
-
-
 def score_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn, holdout = _parts(spark, sf_dir)
-    model = train.fit(learn, _stages(scaled=True), train.estimator("logistic", maxIter=100))
+    model = train.fit(learn, outcome_stages(scaled=True), train.estimator("logistic", maxIter=100))
     scored = train.score(model, holdout.drop("label"), ["o_orderkey"])
     return sinks.submission(scored, "o_orderkey")
 
@@ -302,7 +291,6 @@ QUERIES = {
     "train_one_vs_rest": train_one_vs_rest,
     "train_gbt_multiclass": train_gbt_multiclass,
     "training_history": training_history,
-    "cv_grid": cv_grid,
     "score_holdout": score_holdout,
 }
 
