@@ -30,7 +30,8 @@ MIN_COUNT = 10
 PER_LANG = 2000
 UNKNOWN = "und"
 
-_FLUSH = 1_500_000  # words whose stripes a task holds
+_FLUSH = 1_200_000  # words whose stripes a task holds
+_TEXTS = 250_000  # elements that are spelled out at once
 _SLICE = 2_000_000  # bytes of a text that are taken apart at once
 _BUCKETS = 4  # per reduce task: they even out what a task gets
 _BREAK = 1  # number of the mark between pieces; 0 is nothing between two blanks
@@ -90,7 +91,7 @@ class Stripes:
         ids = np.concatenate([*self.ids, np.full(2, _BREAK, np.int64)]) if self.ids else np.empty(0, np.int64)
         n = len(ids) - 2
         names: list[bytes] = [b""] * (2 + sum(len(x) - 2 for x in self.index.values()))
-        langs = np.zeros(len(names), np.int64)
+        langs = np.zeros(len(names), np.int32)
         for k, index in enumerate(self.index.values()):
             for word, i in index.items():
                 names[i] = word
@@ -105,56 +106,64 @@ class Stripes:
         self._begin(kept)
 
     def _elements(self, ids: np.ndarray, n: int, names: list[bytes], langs: np.ndarray) -> Iterator[pa.RecordBatch]:
-        size = len(names)
-        first = np.flatnonzero(ids[:n] != _BREAK)
-        singles, times1 = np.unique(ids[first], return_counts=True)
-        pairs_at = first[ids[first + 1] != _BREAK]
-        pairs, of_pair, times2 = np.unique(
-            ids[pairs_at] * size + ids[pairs_at + 1], return_inverse=True, return_counts=True
-        )
-        longer = np.flatnonzero(ids[pairs_at + 2] != _BREAK)
-        triples, times3 = np.unique(
-            of_pair[longer] * size + ids[pairs_at[longer] + 2], return_counts=True
-        )
-        inner = pairs[triples // size]
-        words = [
-            np.concatenate([singles, pairs // size, inner // size]),
-            np.concatenate([np.zeros(len(singles), np.int64), pairs % size, inner % size]),
-            np.concatenate([np.zeros(len(singles) + len(pairs), np.int64), triples % size]),
-        ]
-        times = np.concatenate([times1, times2, times3])
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, size)
+        own = list(self.index)
+        totals = np.bincount(langs[ids[:n][ids[:n] != _BREAK]], minlength=len(own)).tolist()
+        yield _rows([0] * len(own), own, pa.array([""] * len(own)), pa.array([[x] for x in totals], pa.list_(pa.int64())))
+        words, times = _merged(ids, n, len(names))
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, len(names))
         mixed = hashes[words[0]]
         for w in words[1:]:
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + hashes[w]
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= np.uint64(0x9E3779B97F4A7C15)
+            mixed += hashes[w]
         mixed ^= mixed >> np.uint64(32)
-        bucket = (mixed % np.uint64(self.buckets)).astype(np.int64)
-        lang = langs[words[0]]
-        group = lang * self.buckets + bucket
-        order = np.argsort(group, kind="stable")  # within a group still by prefix
-        group = group[order]
-        starts = np.flatnonzero(np.diff(group, prepend=-1))
-        offsets = pa.array(np.append(starts, len(group)), pa.int32())
+        group = (mixed % np.uint64(self.buckets)).astype(np.int32) + langs[words[0]] * np.int32(self.buckets)
+        del mixed, hashes
+        order = np.argsort(group, kind="stable").astype(np.int32)  # within a group still by prefix
+        words, times, group = [w[order] for w in words], times[order], group[order]
+        del order
         vocabulary = pa.array(names, pa.binary()).cast(pa.string())
-        columns = [vocabulary.take(pa.array(w[order])) for w in words]
-        phrases = pc.utf8_rtrim(pc.binary_join_element_wise(*columns, " "), " ")
-        packed = pc.binary_join(pa.ListArray.from_arrays(offsets, phrases), "\n")
-        own = list(self.index)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(group[starts] % self.buckets, pa.int64()),
-                pa.array([own[k] for k in (group[starts] // self.buckets).tolist()], pa.string()),
-                packed,
-                pa.ListArray.from_arrays(offsets, pa.array(times[order], pa.int64())),
-            ],
-            names=["bucket", "lang", "phrases", "times"],
-        )
-        totals = np.bincount(langs[ids[first]], minlength=len(own)).tolist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([0] * len(own), pa.int64()), pa.array(own, pa.string()), pa.array([""] * len(own), pa.string()),
-             pa.array([[n] for n in totals], pa.list_(pa.int64()))],
-            names=["bucket", "lang", "phrases", "times"],
-        )
+        starts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
+        first = 0
+        while first < len(starts) - 1:  # texts are made for some groups at a time
+            last = max(first + 1, int(np.searchsorted(starts, starts[first] + _TEXTS, "right")) - 1)
+            part = slice(starts[first], starts[last])
+            offsets = pa.array(starts[first : last + 1] - starts[first], pa.int32())
+            columns = [vocabulary.take(pa.array(w[part])) for w in words]
+            phrases = pc.utf8_rtrim(pc.binary_join_element_wise(*columns, " "), " ")
+            groups = group[starts[first:last]]
+            yield _rows(
+                groups % self.buckets,
+                [own[k] for k in (groups // self.buckets).tolist()],
+                pc.binary_join(pa.ListArray.from_arrays(offsets, phrases), "\n"),
+                pa.ListArray.from_arrays(offsets, pa.array(times[part], pa.int64())),
+            )
+            first = last
+
+
+def _merged(ids: np.ndarray, n: int, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The elements of all stripes, by prefix: numbers of up to three words (0: none) and counts."""
+    first = np.flatnonzero(ids[:n] != _BREAK)
+    singles, times1 = np.unique(ids[first], return_counts=True)
+    at = first[ids[first + 1] != _BREAK]
+    pairs, of_pair, times2 = np.unique(ids[at] * size + ids[at + 1], return_inverse=True, return_counts=True)
+    longer = np.flatnonzero(ids[at + 2] != _BREAK)
+    triples, times3 = np.unique(of_pair[longer] * size + ids[at[longer] + 2], return_counts=True)
+    inner = pairs[triples // size]
+    none = np.zeros(len(singles) + len(pairs), np.int32)
+    words = [
+        np.concatenate([singles, pairs // size, inner // size], dtype=np.int32, casting="unsafe"),
+        np.concatenate([none[: len(singles)], pairs % size, inner % size], dtype=np.int32, casting="unsafe"),
+        np.concatenate([none, triples % size], dtype=np.int32, casting="unsafe"),
+    ]
+    return words, np.concatenate([times1, times2, times3], dtype=np.int32, casting="unsafe")
+
+
+def _rows(bucket, lang, phrases: pa.Array, times: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int64()), pa.array(lang, pa.string()), phrases, times],
+        names=["bucket", "lang", "phrases", "times"],
+    )
 
 
 _COLUMNS = "bucket long, lang string, phrases string, times array<long>"
