@@ -49,11 +49,63 @@ def softmax(scores: Column) -> Column:
     return F.transform(powers, lambda p: p / total)
 
 
-def threshold_of(pair: tuple[float, float]) -> float:
-    """The single cut-off that means the same as a pair of class thresholds."""
-    return 1.0 / (1.0 + pair[0] / pair[1])
-
-
 def above(probability: Column, threshold: float) -> Column:
     """1.0 where the probability exceeds the cut-off, else 0.0."""
     return (probability > threshold).cast("double")
+
+
+# Thresholds of classes ----------------------------------------------------------
+
+
+def class_by_thresholds(probabilities: Column, thresholds: Sequence[float]) -> Column:
+    """The class whose probability is largest against its threshold, as a double.
+
+    A class with threshold 0 wins wherever it has any probability at all.  Of equal
+    quotients the first class wins.  NULL where there are no probabilities; a row
+    with another number of them fails the job.
+    """
+    checked_thresholds(thresholds)
+    quotients = F.zip_with(
+        probabilities,
+        F.array(*[F.lit(float(t)) for t in thresholds]),
+        lambda p, t: F.when(t > 0, p / F.when(t > 0, t)).when(p > 0, F.lit(float("inf"))).otherwise(F.lit(-1.0)),
+    )
+    sized = F.when(F.size(probabilities) == len(thresholds), best_class(quotients)).otherwise(
+        F.raise_error(F.lit(f"a row needs {len(thresholds)} probabilities")).cast("double")
+    )
+    return F.when(probabilities.isNotNull(), sized)
+
+
+def checked_thresholds(thresholds: Sequence[float]) -> list[float]:
+    """The thresholds, if they may be used: none negative, at most one 0, some positive."""
+    found = [float(t) for t in thresholds]
+    if not found or min(found) < 0 or found.count(0.0) > 1 or sum(found) <= 0:
+        raise ValueError("thresholds must not be negative, at most one may be 0, and one must be positive")
+    return found
+
+
+def threshold_of(thresholds: Sequence[float]) -> float:
+    """The one threshold for class 1 that decides as a pair of thresholds does."""
+    against, for_ = checked_thresholds(thresholds)
+    return 1.0 / (1.0 + against / for_) if for_ else 0.0
+
+
+def thresholds_of(threshold: float) -> list[float]:
+    """The pair of thresholds that decides as one threshold for class 1 does."""
+    return [1.0 - threshold, float(threshold)]
+
+
+def agreeing_threshold(
+    threshold: float | None, thresholds: Sequence[float] | None, tolerance: float = 1e-5
+) -> float | None:
+    """The threshold that either form states; forms that do not agree are refused."""
+    if thresholds is None:
+        return threshold
+    if len(thresholds) != 2:
+        if threshold is not None:
+            raise ValueError("one threshold is for two classes only")
+        return None
+    stated = threshold_of(thresholds)
+    if threshold is not None and abs(threshold - stated) >= tolerance:
+        raise ValueError(f"threshold {threshold} and thresholds {list(thresholds)}, which state {stated}, do not agree")
+    return stated

@@ -9,6 +9,10 @@ levels in a distributed table and have no such limit.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from itertools import combinations_with_replacement
+from math import comb
+from operator import mul
 
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import (
@@ -140,6 +144,34 @@ def apply_levels(df: DataFrame, column: str, levels: DataFrame, name: str, keep:
     return joined
 
 
+# Expansion ----------------------------------------------------------------
+
+
+def monomials(columns: Sequence[str], degree: int, most: int = MAX_LEVELS) -> dict[str, Column]:
+    """Name -> product, for all products of one to ``degree`` of the columns, repeats included.
+
+    In order of degree, then of the columns: ``a``, ``b``, ``a*a``, ``a*b``, ``b*b``.
+    A missing factor makes a missing product.  More than ``most`` products are
+    refused, since every one becomes an expression of the plan.
+    """
+    if degree < 1:
+        raise ValueError("degree must be positive")
+    n = comb(len(columns) + degree, degree) - 1
+    if n > most:
+        raise ValueError(f"{n} products are too many")
+    found = {}
+    for d in range(1, degree + 1):
+        for factors in combinations_with_replacement(columns, d):
+            found["*".join(factors)] = reduce(mul, [F.col(c).cast("double") for c in factors])
+    return found
+
+
+def expand(df: DataFrame, columns: Sequence[str], degree: int) -> DataFrame:
+    """Add a column for every product of two to ``degree`` of the columns."""
+    added = {name: product for name, product in monomials(columns, degree).items() if name not in columns}
+    return df.select("*", *[product.alias(name) for name, product in added.items()])
+
+
 # Indexes and vectors through fitted pipelines ------------------------------
 
 

@@ -45,6 +45,9 @@ def fit_slots(
     otherwise such values fail the job.  That is how ``encode.feature_stages``
     numbers them.
     """
+    if not categories:
+        none = train.sparkSession.createDataFrame([], "column string, value string, slot int")
+        return Slots(none, {}, {c: i for i, c in enumerate(numbers)}, len(numbers), keep_unseen)
     levels = reliable_copy(level_indexes(train, categories))
     counts = {r["column"]: r["n"] for r in levels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     first, size = {}, 0

@@ -32,7 +32,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.labels import best_class, mean_of, softmax
+from tallymark.functions.labels import agreeing_threshold, best_class, mean_of, softmax
 from tallymark.operators.split import with_fold
 from tallymark.session import reliable_copy
 
@@ -50,7 +50,11 @@ ESTIMATORS = {
 
 
 def estimator(kind: str, **params: Any) -> Estimator:
-    """An unfitted model by name; ``params`` are those of the ``pyspark.ml`` class."""
+    """An unfitted model by name; ``params`` are those of the ``pyspark.ml`` class.
+
+    A ``threshold`` and ``thresholds`` that state different things are refused.
+    """
+    agreeing_threshold(params.get("threshold"), params.get("thresholds"))
     return ESTIMATORS[kind](**params)
 
 
