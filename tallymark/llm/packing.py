@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,9 @@ _SENTENCE_ENDS = frozenset((".", "!", "?", "\n"))
 # One stop or comma behind a letter and before a blank is a token of its own (İ has a mark in lower case).
 _MARK = re.compile("(?<=[a-zA-Zß-įı-ɏ])([.,])(?=[ \n]|$)")
 
+# Letters that the normalizer and the splitter leave as they are.
+_LETTERS = re.compile("[a-zß-öø-ÿœ]+").fullmatch
+
 
 class WordIds:
     """Ids of texts, by way of the ids of their words between blanks and line ends.
@@ -59,15 +62,17 @@ class WordIds:
         known = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(known.values()) + 1, bool)
         self.last[[i for token, i in known.items() if token.endswith("</w>")]] = True
-        self.index: dict[str, int] = {}
-        self.size = 0
-        self.count = 0
+        self._begin()
+
+    def _begin(self) -> None:
+        """A word gets the next row of the tables below as soon as it is looked up."""
+        self.index: defaultdict[str, int] = defaultdict(count(2).__next__, {"": 0, "\n": 1})
+        self.known = 2  # rows whose ids are there
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.lengths = np.zeros(1 << 14, np.int64)
+        self.size = 0
+        self.starts, self.lengths, self.used = (np.zeros(1 << 14, np.int64) for _ in range(3))
         self.ends = np.zeros(1 << 14, bool)
-        self.used = np.zeros(1 << 14, np.int64)
-        self._keep(["", "\n"], np.empty(0, np.uint32), np.zeros(2, np.int64))
+        self.ends[1] = True
 
     def _grown(self, name: str, needed: int) -> np.ndarray:
         old = getattr(self, name)
@@ -76,43 +81,50 @@ class WordIds:
             setattr(self, name, old)
         return old
 
-    def _keep(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        rows = slice(self.count, self.count + len(words))
+    def _put(self, rows: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         self._grown("flat", self.size + len(ids))[self.size : self.size + len(ids)] = ids
-        self._grown("lengths", rows.stop)[rows] = lengths
-        self._grown("starts", rows.stop)[rows] = self.size + np.cumsum(lengths) - lengths
-        self._grown("ends", rows.stop)[rows] = [w[-1:] in _SENTENCE_ENDS for w in words]
-        self._grown("used", rows.stop)[rows] = 0
-        self.index.update(zip(words, range(rows.start, rows.stop)))
+        self.lengths[rows] = lengths
+        self.starts[rows] = self.size + np.cumsum(lengths) - lengths
         self.size += len(ids)
-        self.count = rows.stop
-
-    def _learn(self, words: set[str]) -> None:
-        plain = [w for w in words if w.isalpha() and (w.isascii() or max(w) < "ɐ") and w.islower()]
-        if plain:
-            ids = np.array(self.letters.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
-            lengths = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
-            if len(lengths) == len(plain):
-                self._keep(plain, ids, lengths)
-                words = words.difference(plain)
-        if words:
-            order = list(words)
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(order, add_special_tokens=False)]
+
+    def _learn(self) -> None:
+        """Find the ids of the words that were looked up for the first time."""
+        words = list(islice(reversed(self.index), len(self.index) - self.known))[::-1]
+        rows = np.arange(self.known, len(self.index))
+        for name in ("starts", "lengths", "used", "ends"):
+            self._grown(name, len(self.index))
+        self.used[rows] = 0
+        self.ends[rows] = [w[-1:] in _SENTENCE_ENDS for w in words]
+        self.known = len(self.index)
+        plain = np.fromiter(map(bool, map(_LETTERS, words)), bool, len(words))
+        if plain.any():
+            ids = self.letters.encode(" ".join(compress(words, plain)), add_special_tokens=False).ids
+            ids = np.array(ids, np.uint32)
+            self._put(rows[plain], ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+        if not plain.all():
+            others = list(compress(words, ~plain))
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self._keep(order, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths)
+            self._put(rows[~plain], np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths)
 
     def _forget(self) -> None:
         """Keep at most half of the words: those needed most often since the last time."""
-        used = self.used[: self.count].copy()
-        least = max(2, int(np.partition(used, -(_WORDS // 2))[-(_WORDS // 2)]) + 1) if self.count > _WORDS // 2 else 1
-        used[:2] = least
-        kept = np.flatnonzero(used >= least)
+        used, half = self.used[: self.known], _WORDS // 2
+        least = max(2, int(np.partition(used, -half)[-half]) + 1) if self.known > half else 2
+        kept = np.flatnonzero(used[2:] >= least) + 2
         names = list(self.index)
         lengths = self.lengths[kept]
         first = np.cumsum(lengths) - lengths
         ids = self.flat[np.repeat(self.starts[kept] - first, lengths) + np.arange(int(lengths.sum()))]
-        self.index, self.size, self.count = {}, 0, 0
-        self._keep([names[i] for i in kept.tolist()], ids, lengths)
+        ends = self.ends[kept]
+        self._begin()
+        for row in kept.tolist():
+            self.index[names[row]]  # noqa: B018
+        self.known = len(self.index)
+        for name in ("starts", "lengths", "used", "ends"):
+            self._grown(name, self.known)
+        self.ends[2 : self.known] = ends
+        self._put(np.arange(2, self.known), ids, lengths)
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``text``, and how many ids lie before each sentence end."""
@@ -120,6 +132,8 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The same for several texts, whose unknown words are learned together."""
+        if self.known > _WORDS:
+            self._forget()
         words: list[str] = []
         sizes = []
         for text in texts:
@@ -129,16 +143,10 @@ class WordIds:
             own = _MARK.sub(r" \1", text).replace("\n", " \n ").split(" ")
             words += own
             sizes.append(len(own))
-        found = list(map(self.index.get, words))
-        if None in found:
-            missing = {w for w, row in zip(words, found) if row is None}
-            if self.count + len(missing) > _WORDS:
-                self._forget()
-                missing = {w for w in words if w not in self.index}
-            self._learn(missing)
-            found = map(self.index.__getitem__, words)
-        rows = np.fromiter(found, np.int64, len(words))
-        self.used[: self.count] += np.bincount(rows, minlength=self.count)
+        rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if len(self.index) > self.known:
+            self._learn()
+        self.used[: self.known] += np.bincount(rows, minlength=self.known)
         lengths = self.lengths[rows]
         ends = np.cumsum(lengths)
         ids = self.flat[np.repeat(self.starts[rows] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
