@@ -8,10 +8,12 @@ the filled table as a scalar subquery: no join and nothing held on the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType
 
 from tallymark.operators import profile
 from tallymark.operators.shape import replaced, text_columns
@@ -68,3 +70,30 @@ def fill_from(df: DataFrame, statistic: DataFrame) -> DataFrame:
     return replaced(
         df, {c: F.coalesce(F.col(c), packed.getField(c)) for c in columns}
     )
+
+
+def central(train: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row with a central value of every column: median of numbers, mode of the rest.
+
+    Modes keep the smallest of equally frequent values.  Medians are exact; those
+    of whole-number columns are rounded half up to a value of the column.  The row
+    of a training table may fill any other, with ``fill_from``.  Columns without
+    any value have none.
+    """
+    chosen = [f for f in train.schema if columns is None or f.name in columns]
+    numbers = [f for f in chosen if isinstance(f.dataType, NumericType)]
+    others = [f.name for f in chosen if not isinstance(f.dataType, NumericType)]
+    rows = []
+    if numbers:
+        middle = medians(train, [f.name for f in numbers])
+        whole = lambda f: F.floor(F.col(f.name) + 0.5) if isinstance(f.dataType, IntegralType) else F.col(f.name)
+        rows.append(middle.select(*[whole(f).cast(f.dataType).alias(f.name) for f in numbers]))
+    if others:
+        rows.append(modes(train, others))
+    # Rows of one: a cross join of two of them is one row.
+    return reduce(DataFrame.crossJoin, rows).select(*[f.name for f in chosen])
+
+
+def central_impute(df: DataFrame, train: DataFrame | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Fill the gaps of a mixed table with central values of ``train`` (of the table itself without one)."""
+    return fill_from(df, central(df if train is None else train, columns))

@@ -89,19 +89,41 @@ def _used_columns(model: Estimator) -> list[str]:
     return named
 
 
+def _read_columns(train: DataFrame, stages: Sequence, models: Sequence[Estimator]) -> list[str]:
+    """The columns of the table that stages or models name."""
+    named = {c for model in models for c in _used_columns(model)}
+    for stage in stages:
+        for param in ("inputCol", "inputCols", "labelCol"):
+            if stage.hasParam(param) and stage.isDefined(param):
+                value = stage.getOrDefault(param)
+                named |= {value} if isinstance(value, str) else set(value)
+    return [c for c in train.columns if c in named]
+
+
+def fit_several(
+    train: DataFrame, stages: Sequence, models: Mapping[str, Estimator], in_memory: bool = False
+) -> dict[str, PipelineModel]:
+    """Fit feature stages once, and several models on the features.
+
+    What made the table runs once: stages and iterative models read a copy of the
+    columns they name.  Models keep the vectors they iterate over by themselves.
+    """
+    if all(isinstance(model, _ONE_PASS) for model in models.values()):
+        features = Pipeline(stages=list(stages)).fit(train)
+        return {name: PipelineModel([*features.stages, model.fit(features.transform(train))]) for name, model in models.items()}
+    with ready(train.select(*_read_columns(train, stages, list(models.values()))), in_memory) as rows:
+        features = Pipeline(stages=list(stages)).fit(rows)
+        fitted = {
+            name: model.fit(features.transform(rows).select(*_used_columns(model))) for name, model in models.items()
+        }
+    return {name: PipelineModel([*features.stages, model]) for name, model in fitted.items()}
+
+
 def fit(
     train: DataFrame, stages: Sequence, model: Estimator, in_memory: bool = False
 ) -> PipelineModel:
-    """Fit feature stages and a model on a training table.
-
-    Features are made first, and an iterative model reads a copy of the columns
-    it needs, nothing else.
-    """
-    if isinstance(model, _ONE_PASS):
-        return Pipeline(stages=[*stages, model]).fit(train)
-    features = Pipeline(stages=list(stages)).fit(train)
-    with ready(features.transform(train).select(*_used_columns(model)), in_memory) as rows:
-        return PipelineModel([*features.stages, model.fit(rows)])
+    """Fit feature stages and a model on a training table; see ``fit_several``."""
+    return fit_several(train, stages, {"model": model}, in_memory)["model"]
 
 
 def perceptron_layers(n_features: int, n_classes: int, hidden: Sequence[int]) -> list[int]:

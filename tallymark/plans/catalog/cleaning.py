@@ -80,6 +80,15 @@ def mode_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute.fill_from(events, impute.modes(events, ["amount", "kind"]))
 
 
+def central_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixed table filled in one call: medians of numbers, modes of texts."""
+    events = _events(spark, sf_dir).select(
+        "event_id", "amount", "kind", F.when(F.col("event_id") % 3 > 0, F.col("event_id") % 11).alias("elevenths")
+    )
+    filled = impute.central_impute(events, columns=["amount", "kind", "elevenths"])
+    return filled.withColumn("amount", F.round("amount", 6))
+
+
 def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = profile.missing_profile(_events(spark, sf_dir), words=("", "NA", "NULL"))
     return found.withColumn("pct", F.round("pct", 6))
@@ -146,6 +155,7 @@ QUERIES = {
     "mean_impute": mean_impute,
     "median_impute": median_impute,
     "mode_impute": mode_impute,
+    "central_impute": central_impute,
     "missing_profile": missing_profile,
     "numeric_summary": numeric_summary,
     "quartiles": quartiles,
@@ -203,6 +213,13 @@ ORACLES = {
         SELECT event_id, coalesce(amount, {_MODE.format('amount', _EVENTS_SQL)}) AS amount,
                coalesce(kind, {_MODE.format('kind', _EVENTS_SQL)}) AS kind
         FROM {_EVENTS_SQL}""",
+    "central_impute": f"""
+        WITH e AS (SELECT event_id, amount, kind, CASE WHEN event_id % 3 > 0 THEN event_id % 11 END AS elevenths
+                   FROM {_EVENTS_SQL})
+        SELECT event_id, round(coalesce(amount, (SELECT median(amount) FROM e)), 6) AS amount,
+               coalesce(kind, {_MODE.format('kind', 'e')}) AS kind,
+               coalesce(elevenths, (SELECT CAST(floor(median(elevenths) + 0.5) AS BIGINT) FROM e)) AS elevenths
+        FROM e""",
     "missing_profile": " UNION ALL ".join(
         [
             _profile_row("event_id", "event_id IS NULL"),

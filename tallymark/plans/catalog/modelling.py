@@ -118,9 +118,9 @@ def train_decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train_and_score(spark, sf_dir, "tree", maxDepth=5, maxBins=32, seed=_SEED)
 
 
-def _forest():
+def _forest(features: str = "8"):
     return train.estimator(
-        "forest", numTrees=20, maxDepth=6, impurity="entropy", featureSubsetStrategy="8", seed=_SEED
+        "forest", numTrees=20, maxDepth=6, impurity="entropy", featureSubsetStrategy=features, seed=_SEED
     )
 
 
@@ -130,8 +130,9 @@ def train_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees that may look at all features go by the one that gives the label away, and by no other."""
     outcomes = outcome_rows(spark, sf_dir)
-    model = train.fit(outcomes, outcome_stages(), _forest())
+    model = train.fit(outcomes, outcome_stages(), _forest(features="all"))
     names = encode.slot_names(model.transform(outcomes))
     return train.importances(model.stages[-1], names)
 
@@ -169,17 +170,22 @@ def boosted_level_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blend_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest's chance and a boosted score, averaged.
+
+    Every tree may look at all features, so both find the label.
+    """
     learn, holdout = _parts(spark, sf_dir)
-    forest = train.estimator("forest", numTrees=25, maxDepth=5, seed=_SEED)
-    boosted = train.estimator(
-        "boosted_regression", maxIter=10, maxDepth=5, stepSize=0.3, subsamplingRate=0.7,
-        featureSubsetStrategy="0.7", seed=_SEED,
-    )
     models = {
-        "forest_score": (train.fit(learn, outcome_stages(), forest), "probability"),
-        "boosted_score": (train.fit(learn, outcome_stages(), boosted), "prediction"),
-    }
-    return train.blend(models, holdout, ["o_orderkey", "label"])
+        "forest_score": train.estimator("forest", numTrees=25, maxDepth=5, featureSubsetStrategy="all", seed=_SEED),
+        "boosted_score": train.estimator(
+            "boosted_regression", maxIter=10, maxDepth=5, stepSize=0.3, subsamplingRate=0.7,
+            featureSubsetStrategy="all", seed=_SEED,
+        ),
+    }
+    outputs = {"forest_score": "probability", "boosted_score": "prediction"}
+    fitted = train.fit_several(learn, outcome_stages(), models)
+    found = train.blend({name: (fitted[name], outputs[name]) for name in models}, holdout, ["o_orderkey", "label"])
+    return found.select("o_orderkey", "label", *[F.round(c, 6).alias(c) for c in (*models, "score")])
 
 
 def train_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,6 +250,26 @@ def train_gbt_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("probability", F.round(F.array_max("probability"), 6))
 
 
+def gbt_multiclass_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted one-vs-rest over five classes that follow from one category.
+
+    Every round moves all rows of a class by the same step, so the margins after
+    25 rounds, and the chances they give, are known.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus",
+        (F.substring("o_orderpriority", 1, 1).cast("double") - 1).alias("label"),
+    )
+    learn, holdout = split.split(orders, "o_orderkey", [0.7, 0.3])
+    features = encode.fit_features(learn, ["o_orderpriority", "o_orderstatus"], [], keep_unseen=True)
+    model = train.fit_one_vs_rest(
+        features.transform(learn).select("label", "features"),
+        train.estimator("boosted", maxIter=25, maxDepth=15, stepSize=0.1, seed=_SEED),
+    )
+    scored = train.score_one_vs_rest(model, features.transform(holdout), ["o_orderkey", "label"])
+    return scored.withColumn("probability", F.round(F.array_max("probability"), 6))
+
+
 def training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every history of a two-class fit must show.
 
@@ -290,6 +316,7 @@ QUERIES = {
     "naive_bayes_params": naive_bayes_params,
     "train_one_vs_rest": train_one_vs_rest,
     "train_gbt_multiclass": train_gbt_multiclass,
+    "gbt_multiclass_margins": gbt_multiclass_margins,
     "training_history": training_history,
     "score_holdout": score_holdout,
 }
@@ -327,7 +354,26 @@ def _log_joint(label: int) -> str:
 
 _RECOVERED = f"SELECT o_orderkey, label, label AS prediction FROM {_OUTCOMES} WHERE NOT learn"
 
+_SLOTS = """
+    (SELECT 'o_orderpriority_vec_' || o_orderpriority AS feature FROM (SELECT DISTINCT o_orderpriority FROM orders)
+     UNION ALL SELECT 'o_orderstatus_vec_' || o_orderstatus FROM (SELECT DISTINCT o_orderstatus FROM orders)
+     UNION ALL SELECT unnest(['n_lines', 'quantity', 'discount', 'tax', 'n_returned']))"""
+
 ORACLES = {
+    "feature_importance": f"""
+        SELECT feature, CASE WHEN feature = 'n_returned' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+        FROM {_SLOTS}""",
+    "blend_models": f"""
+        SELECT o_orderkey, label, label AS forest_score, label AS boosted_score, label AS score
+        FROM {_OUTCOMES} WHERE NOT learn""",
+    "gbt_multiclass_margins": """
+        WITH RECURSIVE f(round, margin) AS (
+          SELECT 1, 1.0::DOUBLE
+          UNION ALL SELECT round + 1, margin + 0.1::DOUBLE * 4 / (1 + exp(2 * margin)) FROM f WHERE round < 25),
+        o AS (SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) - 1 AS label FROM orders
+              WHERE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) >= 'b3333333')
+        SELECT o_orderkey, label, label AS prediction,
+               (SELECT round(1 / (1 + 4 * exp(-2 * margin)), 6) FROM f WHERE round = 25) AS probability FROM o""",
     "train_logistic": _RECOVERED,
     "train_logistic_weighted": _RECOVERED,
     "train_logistic_bounded": _RECOVERED,
