@@ -1,10 +1,10 @@
-"""Benchmark decontamination by a positional index.
+"""Benchmark decontamination by a positional inverted index.
 
-Every document keeps its own postings, so lists are intersected where the text
-is and no posting of a common word is ever moved.  A benchmark window is looked
-up by its rarest term in the training text; the posting is kept when the second
-rarest term stands at its offset (or near it), and then the whole phrase is
-compared.
+A benchmark window is looked up by its two terms that are rarest in the training
+text.  The postings (term, document, place) of such terms are stored, those of
+other words never leave their text.  A window's two lists, moved back by the
+offsets of their terms, are intersected; where they meet (or nearly meet) the
+whole phrase is compared with the text.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm import common
+from tallymark.session import reliable_copy
 
 WINDOW = 13
 SLOP = 3
@@ -46,22 +47,24 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _postings(docs: DataFrame) -> DataFrame:
-    """(key, words, skip, at, term): one row per word of each document."""
+def _words(docs: DataFrame) -> DataFrame:
+    """(key, at, term): one row per word of each document, words counted from 0."""
     return (
         common.keyed(docs, "text")
         .select(*common.KEY, common.pieces(F.col("text")).alias("words"))
-        .select(*common.KEY, "words", F.posexplode_outer("words").alias("at", "raw"))
-        .select(
-            *common.KEY,
-            "words",
-            common.empty_first(F.col("words")).alias("skip"),
-            "at",
-            F.lower("raw").alias("term"),
-        )
+        .select(*common.KEY, common.empty_first(F.col("words")).alias("skip"), F.posexplode_outer("words").alias("at", "raw"))
+        .where(F.col("raw") != "")
+        .select(*common.KEY, (F.col("at") - F.col("skip")).alias("at"), F.lower("raw").alias("term"))
     )
 
 
+def stored_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, text_key, at, term): where ``terms`` stand in the documents, written once."""
+    wanted = terms.select("term").distinct()
+    parts = [_words(docs).join(part, "term") for part in common.blocks(reliable_copy(wanted), "term")]
+    return reliable_copy(reduce(DataFrame.unionByName, parts).select(*common.KEY, "at", "term"))
+
+
 def term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, df): how often each of ``terms`` occurs in all documents."""
     words = common.keyed(docs, "text").select(
@@ -105,6 +108,57 @@ def windows(words: DataFrame, frequencies: DataFrame, size: int = WINDOW) -> Dat
     ).distinct()
 
 
+def candidates(looked_up: DataFrame, postings: DataFrame, slop: int = 0) -> DataFrame:
+    """(key, item_id, start, length, phrase): where two lists of a window meet.
+
+    The list of its rarest term and that of its second rarest, both moved back by
+    their offsets, are intersected.  With ``slop`` their places differ by 1 to
+    ``slop`` words instead.  A window of one term has one list.
+    """
+    first = postings.join(looked_up, "term").withColumn("start", F.col("at") - F.col("off"))
+    second = postings.select(
+        F.col("doc_id").alias("doc_id_2"), F.col("text_key").alias("text_key_2"), F.col("at").alias("at_2"), F.col("term").alias("other")
+    )
+    found = ["doc_id", "text_key", "item_id", "start", "length", "phrase"]
+    beside = (
+        F.col("doc_id").eqNullSafe(F.col("doc_id_2")) & (F.col("text_key") == F.col("text_key_2")) & (F.col("term2") == F.col("other"))
+    )
+    if slop:
+        apart = F.abs(F.col("at_2") - F.col("at") - F.col("step"))
+        near = beside & apart.between(1, slop) & (F.col("at_2") != F.col("at"))
+        return first.join(second, near, "left_semi").select(*found)
+    there = beside & (F.col("at_2") == F.col("at") + F.col("step"))
+    both = first.where("term2 IS NOT NULL").join(second, there, "left_semi").select(*found)
+    return both.unionByName(first.where("term2 IS NULL").select(*found)).where("start >= 0").distinct()
+
+
+def _index(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The windows of the benchmark, and the stored postings of the terms they are looked up by."""
+    words = item_words(benchmark)
+    looked_up = reliable_copy(windows(words, term_frequencies(docs, words), size))
+    terms = looked_up.select(F.explode(F.array("term", "term2")).alias("term")).where("term IS NOT NULL")
+    return looked_up, stored_postings(docs, terms)
+
+
+def _verified(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, n_words, spans): of every document row, with the candidates whose whole phrase stands there."""
+    span = F.struct("start", "length", "item_id", "phrase")
+    per_doc = reliable_copy(found.groupBy(*common.KEY).agg(F.collect_set(span).alias("spans")))
+    # A list may be long: all of them are counted before they are broadcast.
+    n = per_doc.agg(F.sum(F.size("spans"))).first()[0] or 0
+    lists = per_doc.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "spans")
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
+    joined = common.keyed(docs, "text").join(F.broadcast(lists) if n <= common.BROADCAST_ROWS else lists, same, "left")
+    split = joined.select(*common.KEY, F.explode_outer(F.array(common.pieces(F.col("text")))).alias("words"), "spans")
+    skip = common.empty_first(F.col("words"))
+
+    def there(s: Column) -> Column:
+        own = F.slice("words", s["start"] + skip + 1, s["length"])
+        return common.ascii_lower(F.array_join(own, " ")) == s["phrase"]
+
+    return split.select(*common.KEY, common.n_words(F.col("words")).alias("n_words"), F.filter("spans", there).alias("spans"))
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slop: int = SLOP, proximity: bool = True
 ) -> DataFrame:
@@ -117,37 +171,13 @@ def matches(
     Words are compared with A-Z lowered.  NULL and empty texts match nothing.
     ``proximity=False`` leaves the near ones out.
     """
-    words = item_words(benchmark)
-    looked_up = windows(words, term_frequencies(docs, words), size)
-    index = _postings(docs)
-    second = F.lower(F.get("words", F.col("at") + F.col("step")))
-    exact_second = F.col("term2").isNull() | (second == F.col("term2"))
-    found = []
-    for part in common.blocks(looked_up, "term"):
-        hits = index.join(part, "term").withColumn(
-            "start", F.col("at") - F.col("skip") - F.col("off")
-        )
-        phrase = common.ascii_lower(
-            F.array_join(F.slice("words", F.col("at") - F.col("off") + 1, F.col("length")), " ")
-        )
-        found.append(
-            hits.where((F.col("start") >= 0) & exact_second)
-            .where(phrase == F.col("phrase"))
-            .select(*common.KEY, "item_id", "start", "length", F.lit("exact").alias("kind"))
-        )
-        if proximity:
-            shifted: Column = F.lit(False)
-            for d in range(1, slop + 1):
-                for sign in (d, -d):
-                    at = F.col("at") + F.col("step") + sign
-                    shifted = shifted | (
-                        (at >= 0) & (at != F.col("at")) & (F.lower(F.get("words", at)) == F.col("term2"))
-                    )
-            found.append(
-                hits.where(shifted)
-                .select(*common.KEY, "item_id", "start", "length", F.lit("near").alias("kind"))
-            )
-    return reduce(DataFrame.unionByName, found)
+    looked_up, postings = _index(docs, benchmark, size)
+    spans = _verified(docs, candidates(looked_up, postings)).select(*common.KEY, F.explode("spans").alias("x"))
+    exact = spans.select(*common.KEY, "x.item_id", "x.start", "x.length", F.lit("exact").alias("kind"))
+    if not proximity:
+        return exact
+    near = candidates(looked_up, postings, slop)
+    return exact.unionByName(near.select(*common.KEY, "item_id", "start", "length", F.lit("near").alias("kind")))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -158,29 +188,27 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
     n_words, n_hit, n_items, items (sorted as text), contaminated (at least one
     word in twenty is hit).
     """
-    exact = matches(docs, benchmark, size, proximity=False)
-    per_doc = exact.groupBy(*common.KEY).agg(
-        F.collect_set(F.struct("start", "length")).alias("spans"),
-        F.collect_set(F.col("item_id").cast("string")).alias("items"),
-    )
+    found = _verified(docs, candidates(*_index(docs, benchmark, size)))
     covered = F.array_distinct(
         F.flatten(
             F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))
         )
     )
-    hits = per_doc.select(*common.KEY, F.size(covered).cast("long").alias("n_hit"), "items")
-    counted = common.keyed(docs, "text").select(
-        *common.KEY, common.n_words(common.pieces(F.col("text"))).alias("n_words")
+    n_hit = F.coalesce(F.size(covered), F.lit(0)).cast("long")
+    items = F.array_distinct(F.transform("spans", lambda s: s["item_id"].cast("string")))
+    counted = found.select(
+        *common.KEY,
+        "n_words",
+        F.when(F.col("spans").isNull(), F.lit(0).cast("long")).otherwise(n_hit).alias("n_hit"),
+        F.sort_array(F.coalesce(items, F.array().cast("array<string>"))).alias("items"),
     )
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return common.with_found(counted, hits).select(
+    return counted.select(
         *common.KEY,
         "n_words",
-        n_hit.alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
-        F.sort_array(items).alias("items"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        "items",
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
 
 
