@@ -99,3 +99,47 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         result = stage(spark, docs, SF)
         assert result.count() == 0
+
+
+def _shortened(monkeypatch, fails=False):
+    """Stages that only count themselves."""
+    done = []
+
+    def stage(name):
+        def step(spark, docs, sf_dir):
+            if fails and name == "packing":
+                raise RuntimeError("stopped")
+            done.append(name)
+            return docs.where("doc_id % 2 = 0")
+
+        return step
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, stage(name)) for name, _ in corpus_pipeline.STAGES])
+    return done
+
+
+def test_a_run_goes_on_behind_its_last_finished_stage(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "stages")
+    done = _shortened(monkeypatch, fails=True)
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, SF, folder)
+    assert done == ["quality", "line_dedup", "near_duplicates", "decontamination"]
+    done = _shortened(monkeypatch)
+    assert corpus_pipeline.run(spark, SF, folder).count() > 0 and done == ["packing"]
+    assert sorted(p.name for p in (tmp_path / "stages").iterdir()) == sorted(name for name, _ in corpus_pipeline.STAGES)
+
+
+def test_files_of_inner_stages_go(spark, monkeypatch):
+    from pathlib import Path
+
+    corpus_pipeline.use_checkpoint_folder(spark)
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(shared.glob("pipeline-*"))
+    _shortened(monkeypatch)
+    rows = corpus_pipeline.run(spark, SF)
+    (own,) = set(shared.glob("pipeline-*")) - before
+    assert [p.name for p in own.iterdir()] == ["packing"] and rows.count() > 0
+    _shortened(monkeypatch, fails=True)
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, SF)
+    assert set(shared.glob("pipeline-*")) - before == {own}

@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +72,65 @@ def test_rare_telling_words_are_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.learned(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
     assert any(w > 0 and e.startswith("zquo") for e, w in model.weights.items())
+
+
+def brute_model(rows, sample):
+    """Weights again, from whole texts in plain Python."""
+    texts, hits, words, sizes = {}, {}, {0: 0, 1: 0}, {0: 0, 1: 0}
+    for text, label in sample:
+        plain = toxicity.folded(text).split()
+        words[label] += len(plain)
+        sizes[label] += 1
+        found = [w[:n] for w in plain for n in range(3, min(len(w), 10) + 1)]
+        for entry in set(found):
+            texts[entry, label] = texts.get((entry, label), 0) + 1
+            hits[entry, label] = hits.get((entry, label), 0) + found.count(entry)
+    weights = {}
+    for entry in {e for e, _ in texts}:
+        t = [texts.get((entry, x), 0) for x in (0, 1)]
+        h = [hits.get((entry, x), 0) for x in (0, 1)]
+        dense = ((h[1] + 0.5) / max(1, words[1])) / ((h[0] + 0.5) / max(1, words[0]))
+        usual = ((t[1] + 0.5) / sizes[1]) / ((t[0] + 0.5) / sizes[0])
+        if t[1] >= toxicity.MIN_TEXTS and math.sqrt(dense * usual) >= toxicity.MIN_LIFT and usual > 2:
+            weights[entry] = (t[1], math.log(math.sqrt(dense * usual)))
+    return {
+        e: w for e, (t, w) in weights.items()
+        if not any(o != e and o.startswith(e) and n >= 0.9 * t for o, (n, _) in weights.items())
+    }
+
+
+def brute_score(text, model):
+    """The longest entry at every word start counts once; entries may span words."""
+    plain = toxicity.folded(text)
+    n = plain.count(" ") if len(plain) > 1 else 0
+    total, at = 0.0, 0
+    while at < len(plain):
+        entries = [e for e in model.weights if plain.startswith(" " + e, at)]
+        best = max(entries, key=len, default=None)
+        if best is not None:
+            total += model.weights[best]
+        at += 1 + len(best) if best is not None else 1
+    z = model.curve[0] + sum(
+        a * b for a, b in zip(model.curve[1:], [math.log1p(total), 100 * total / (n + 20), total / math.sqrt(n + 20)]))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_weights_and_scores_by_brute_force(spark):
+    rng = random.Random(2)
+    plain = ["river", "rivet", "stone", "stones", "idea", "idiom", "letter", "lettuce", "clown fish", "moral", "l0ss"]
+    bad = ["idiot", "1diot", "idiots", "losers", "MORON", "m0ronic", "clown"]
+    rows = []
+    for i in range(160):
+        label = int(i % 4 == 0)
+        words = [rng.choice(plain) for _ in range(rng.randint(5, 60))]
+        for _ in range(rng.randint(2, 9) if label else rng.random() < 0.05):
+            words.insert(rng.randrange(len(words)), rng.choice(bad))
+        rows.append((i, " ".join(words), label))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learned(docs, docs.select("doc_id", "toxic"))
+    expected = brute_model(rows, [(t, x) for _, t, x in rows])
+    learned = {e: w for e, w in model.weights.items() if w}
+    assert learned.keys() == expected.keys() and len(learned) >= 3
+    assert all(learned[e] == pytest.approx(expected[e]) for e in learned)
+    for r in toxicity.scored(docs, model).collect():
+        assert r.score == pytest.approx(brute_score(rows[r.doc_id][1], model))
