@@ -65,15 +65,45 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _place(spark: SparkSession, path: str):
+    """The file system of a path and the path, whatever store it lies in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
     """Apply all stages to the documents of ``sf_dir``, each from the last one's files.
 
-    The files lie in the checkpoint folder, which all executors reach.
+    With a ``folder``, which all executors must reach, the files of every stage
+    stay there, and a run that is begun again goes on behind the last stage that
+    was finished.  Without one they lie in the checkpoint folder: a stage's files
+    go as soon as the next stage is written, those of the last one stay for the
+    caller, and a run that fails leaves none.
     """
     use_checkpoint_folder(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    base = folder or f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    docs, before = read(spark, sf_dir, "documents"), None
+    try:
+        for name, stage in STAGES:
+            here = f"{base}/{name}"
+            if not _finished(spark, here):
+                stage(spark, docs, sf_dir).write.mode("overwrite").parquet(here)
+            docs = spark.read.parquet(here)
+            if before and not folder:
+                _remove(spark, before)
+            before = here
+    except BaseException:
+        if not folder:
+            _remove(spark, base)
+        raise
     return docs
