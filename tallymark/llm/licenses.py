@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import common
+from tallymark.session import reliable_copy
 
 # Phrases that must stand word for word, and their labels.
 BASE = (
@@ -39,6 +40,20 @@ TEMPLATES = (
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source"),
     ("mpl-2.0", "mozilla public license version 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "this permission notice shall be included"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", "redistributions in binary form must reproduce"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products", "nor the names of its contributors"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "will the authors be held liable"),
+    ("bsl-1.0", "boost software license version 1 0", "boost software license"),
+    ("epl-1.0", "eclipse public license v 1 0", "eclipse public license v 1"),
+    ("epl-2.0", "eclipse public license v 2 0", "eclipse public license v 2"),
+    ("gfdl", "gnu free documentation license", "gnu free documentation license"),
+    ("gpl-exception", "as a special exception the copyright holders of this library give you permission to link this library", "as a special exception"),
+    ("cc-by-nc", "cc by nc", "cc by nc"),
+    ("cc-by-nd", "cc by nd", "cc by nd"),
+    ("cc0-1.0", "cc0 1 0 universal", "cc0 1 0"),
+    ("artistic-2.0", "artistic license 2 0", "artistic license 2 0"),
 )
 MIN_SHARE = 0.75
 
@@ -51,10 +66,11 @@ def templates(spark: SparkSession) -> DataFrame:
     for number, (_, label, base, text, key) in enumerate(rows):
         words, wanted = text.split(), key.split()
         at = next(i for i in range(len(words)) if words[i : i + len(wanted)] == wanted)
-        made.append((number, label, base, words, at, len(wanted)))
-    return spark.createDataFrame(
-        made, "template int, label string, base boolean, words array<string>, key_at int, key_length int"
-    )
+        cells = {"template": F.lit(number), "label": F.lit(label), "base": F.lit(base),
+                 "words": F.array(*map(F.lit, words)), "key_at": F.lit(at), "key_length": F.lit(len(wanted))}
+        made.append(F.struct(*[c.alias(name) for name, c in cells.items()]))
+    # Literals: nothing is sent to Python workers.
+    return spark.range(1).select(F.inline(F.array(*made)))
 
 
 def _postings(docs: DataFrame) -> DataFrame:
@@ -76,8 +92,7 @@ def anchors(docs: DataFrame, known: DataFrame, min_share: float = MIN_SHARE) ->
     terms = common.keyed(docs, "text").select(
         F.explode_outer(common.pieces(F.col("text"))).alias("raw")
     ).select(F.lower("raw").alias("term"))
-    # One row per template word: a fixed list in this module bounds it.
-    counts = terms.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.count("*").alias("df"))
+    counts = terms.join(common.broadcast_if_small(vocabulary), "term").groupBy("term").agg(F.count("*").alias("df"))
     places = known.select("*", F.posexplode("words").alias("off", "term"))
     ranked = places.join(counts, "term", "left").select(
         "*", F.struct(F.coalesce("df", F.lit(0)), "off", "term").alias("rarity")
@@ -97,11 +112,11 @@ def matches(docs: DataFrame, known: DataFrame, min_share: float = MIN_SHARE) ->
     phrases need all of them, the others their key phrase and ``min_share``.
     A-Z count as a-z.  Templates may overlap each other and repeat.
     """
-    lifted = anchors(docs, known, min_share)
+    lifted = reliable_copy(anchors(docs, known, min_share))
     first = F.col("at") - F.col("off")  # place of the template's first word among the pieces
     placed = (
         _postings(docs)
-        .join(F.broadcast(lifted), "term")
+        .join(common.broadcast_if_small(lifted), "term")
         .where(first >= 0)
         .select(
             *common.KEY,
@@ -112,7 +127,7 @@ def matches(docs: DataFrame, known: DataFrame, min_share: float = MIN_SHARE) ->
         .distinct()
     )
     own = F.split(common.ascii_lower(F.col("there")), " ")
-    compared = placed.join(F.broadcast(known), "template").withColumn(
+    compared = placed.join(common.broadcast_if_small(known), "template").withColumn(
         "same", F.zip_with(own, "words", lambda a, b: F.coalesce(a == b, F.lit(False)))
     )
     return (
@@ -131,7 +146,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     sorted lists; score is the largest share of a template found, else 0.
     NULL and empty texts have no words and no labels.
     """
-    known = templates(docs.sparkSession) if known is None else known
+    known = reliable_copy(templates(docs.sparkSession) if known is None else known)
     per_doc = matches(docs, known).groupBy(*common.KEY).agg(
         F.count_if("base").alias("n_base"),
         F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),
