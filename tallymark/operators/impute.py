@@ -8,7 +8,6 @@ the filled table as a scalar subquery: no join and nothing held on the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -83,15 +82,15 @@ def central(train: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     chosen = [f for f in train.schema if columns is None or f.name in columns]
     numbers = [f for f in chosen if isinstance(f.dataType, NumericType)]
     others = [f.name for f in chosen if not isinstance(f.dataType, NumericType)]
-    rows = []
-    if numbers:
-        middle = medians(train, [f.name for f in numbers])
-        whole = lambda f: F.floor(F.col(f.name) + 0.5) if isinstance(f.dataType, IntegralType) else F.col(f.name)
-        rows.append(middle.select(*[whole(f).cast(f.dataType).alias(f.name) for f in numbers]))
-    if others:
-        rows.append(modes(train, others))
-    # Rows of one: a cross join of two of them is one row.
-    return reduce(DataFrame.crossJoin, rows).select(*[f.name for f in chosen])
+    whole = lambda f: F.floor(F.col(f.name) + 0.5) if isinstance(f.dataType, IntegralType) else F.col(f.name)
+    if not numbers:
+        return modes(train, others)
+    middle = medians(train, [f.name for f in numbers]).select(*[whole(f).cast(f.dataType).alias(f.name) for f in numbers])
+    if not others:
+        return middle
+    packed = middle.select(F.struct(*middle.columns).alias("s")).scalar()
+    found = modes(train, others).select("*", *[packed.getField(f.name).alias(f.name) for f in numbers])
+    return found.select(*[f.name for f in chosen])
 
 
 def central_impute(df: DataFrame, train: DataFrame | None = None, columns: Sequence[str] | None = None) -> DataFrame:
