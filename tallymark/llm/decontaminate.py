@@ -2,16 +2,17 @@
 
 A benchmark window is looked up by its two terms that are rarest in the training
 text.  The postings (term, document, place) of such terms are stored, those of
-other words never leave their text.  A window's two lists, moved back by the
-offsets of their terms, are intersected; where they meet (or nearly meet) the
-whole phrase is compared with the text.
+rarest terms with the words around them; texts and postings of other words are
+never moved.  A window's two lists, moved back by the offsets of their terms, are
+intersected; where they meet (or nearly meet) the whole phrase is compared with
+the words around.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm import common
@@ -47,22 +48,35 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    """(key, at, term): one row per word of each document, words counted from 0."""
-    return (
+def stored_postings(docs: DataFrame, looked_up: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(doc_id, text_key, at, term, first, around): where the windows' terms stand, written once.
+
+    Places are words from 0.  A term that is the rarest of some window has the
+    words of its surroundings with it, as many as any window may need, the first of
+    them at place ``first``; other terms have none.
+    """
+    both = F.explode(F.array(F.struct("term", F.lit(True).alias("leads")), F.struct(F.col("term2").alias("term"), F.lit(False).alias("leads"))))
+    terms = looked_up.select(both.alias("x")).where("x.term IS NOT NULL").groupBy("x.term").agg(F.max("x.leads").alias("leads"))
+    words = (
         common.keyed(docs, "text")
         .select(*common.KEY, common.pieces(F.col("text")).alias("words"))
-        .select(*common.KEY, common.empty_first(F.col("words")).alias("skip"), F.posexplode_outer("words").alias("at", "raw"))
-        .where(F.col("raw") != "")
-        .select(*common.KEY, (F.col("at") - F.col("skip")).alias("at"), F.lower("raw").alias("term"))
+        .select(*common.KEY, "words", F.posexplode_outer("words").alias("at", "raw"))
+        .select(*common.KEY, "words", common.empty_first(F.col("words")).alias("skip"), "at", F.lower("raw").alias("term"))
     )
-
-
-def stored_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, text_key, at, term): where ``terms`` stand in the documents, written once."""
-    wanted = terms.select("term").distinct()
-    parts = [_words(docs).join(part, "term") for part in common.blocks(reliable_copy(wanted), "term")]
-    return reliable_copy(reduce(DataFrame.unionByName, parts).select(*common.KEY, "at", "term"))
+    first = F.greatest(F.col("at") - (size - 1), F.col("skip"))
+    around = F.slice("words", first + 1, F.col("at") - first + size)
+    # Every term is one row here, so every block is small and the texts are not moved.
+    parts = [
+        words.join(part, "term").select(
+            *common.KEY,
+            (F.col("at") - F.col("skip")).alias("at"),
+            "term",
+            (first - F.col("skip")).alias("first"),
+            F.when(F.col("leads"), around).alias("around"),
+        )
+        for part in common.blocks(reliable_copy(terms), "term")
+    ]
+    return reliable_copy(reduce(DataFrame.unionByName, parts))
 
 
 def term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -108,18 +122,24 @@ def windows(words: DataFrame, frequencies: DataFrame, size: int = WINDOW) -> Dat
     ).distinct()
 
 
-def candidates(looked_up: DataFrame, postings: DataFrame, slop: int = 0) -> DataFrame:
-    """(key, item_id, start, length, phrase): where two lists of a window meet.
+def meetings(looked_up: DataFrame, postings: DataFrame, slop: int = 0) -> DataFrame:
+    """(key, item_id, start, length, there, phrase): where two lists of a window meet.
 
     The list of its rarest term and that of its second rarest, both moved back by
     their offsets, are intersected.  With ``slop`` their places differ by 1 to
-    ``slop`` words instead.  A window of one term has one list.
+    ``slop`` words instead.  A window of one term has one list.  ``there`` has the
+    document's words at the places of the window.
     """
-    first = postings.join(looked_up, "term").withColumn("start", F.col("at") - F.col("off"))
+    start = F.col("at") - F.col("off")
+    there = F.slice("around", F.greatest(start - F.col("first"), F.lit(0)) + 1, F.col("length"))
+    first = postings.where("around IS NOT NULL").join(looked_up, "term").select(
+        *common.KEY, "item_id", start.alias("start"), "length", "at", "step", "term2", "phrase",
+        common.ascii_lower(F.array_join(there, " ")).alias("there"),
+    )
     second = postings.select(
         F.col("doc_id").alias("doc_id_2"), F.col("text_key").alias("text_key_2"), F.col("at").alias("at_2"), F.col("term").alias("other")
     )
-    found = ["doc_id", "text_key", "item_id", "start", "length", "phrase"]
+    found = [*common.KEY, "item_id", "start", "length", "there", "phrase"]
     beside = (
         F.col("doc_id").eqNullSafe(F.col("doc_id_2")) & (F.col("text_key") == F.col("text_key_2")) & (F.col("term2") == F.col("other"))
     )
@@ -127,36 +147,9 @@ def candidates(looked_up: DataFrame, postings: DataFrame, slop: int = 0) -> Data
         apart = F.abs(F.col("at_2") - F.col("at") - F.col("step"))
         near = beside & apart.between(1, slop) & (F.col("at_2") != F.col("at"))
         return first.join(second, near, "left_semi").select(*found)
-    there = beside & (F.col("at_2") == F.col("at") + F.col("step"))
-    both = first.where("term2 IS NOT NULL").join(second, there, "left_semi").select(*found)
-    return both.unionByName(first.where("term2 IS NULL").select(*found)).where("start >= 0").distinct()
-
-
-def _index(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """The windows of the benchmark, and the stored postings of the terms they are looked up by."""
-    words = item_words(benchmark)
-    looked_up = reliable_copy(windows(words, term_frequencies(docs, words), size))
-    terms = looked_up.select(F.explode(F.array("term", "term2")).alias("term")).where("term IS NOT NULL")
-    return looked_up, stored_postings(docs, terms)
-
-
-def _verified(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, n_words, spans): of every document row, with the candidates whose whole phrase stands there."""
-    span = F.struct("start", "length", "item_id", "phrase")
-    per_doc = reliable_copy(found.groupBy(*common.KEY).agg(F.collect_set(span).alias("spans")))
-    # A list may be long: all of them are counted before they are broadcast.
-    n = per_doc.agg(F.sum(F.size("spans"))).first()[0] or 0
-    lists = per_doc.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "spans")
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
-    joined = common.keyed(docs, "text").join(F.broadcast(lists) if n <= common.BROADCAST_ROWS else lists, same, "left")
-    split = joined.select(*common.KEY, F.explode_outer(F.array(common.pieces(F.col("text")))).alias("words"), "spans")
-    skip = common.empty_first(F.col("words"))
-
-    def there(s: Column) -> Column:
-        own = F.slice("words", s["start"] + skip + 1, s["length"])
-        return common.ascii_lower(F.array_join(own, " ")) == s["phrase"]
-
-    return split.select(*common.KEY, common.n_words(F.col("words")).alias("n_words"), F.filter("spans", there).alias("spans"))
+    met = beside & (F.col("at_2") == F.col("at") + F.col("step"))
+    both = first.where("term2 IS NOT NULL").join(second, met, "left_semi").select(*found)
+    return both.unionByName(first.where("term2 IS NULL").select(*found)).where("start >= 0")
 
 
 def matches(
@@ -171,13 +164,16 @@ def matches(
     Words are compared with A-Z lowered.  NULL and empty texts match nothing.
     ``proximity=False`` leaves the near ones out.
     """
-    looked_up, postings = _index(docs, benchmark, size)
-    spans = _verified(docs, candidates(looked_up, postings)).select(*common.KEY, F.explode("spans").alias("x"))
-    exact = spans.select(*common.KEY, "x.item_id", "x.start", "x.length", F.lit("exact").alias("kind"))
+    words = item_words(benchmark)
+    looked_up = reliable_copy(windows(words, term_frequencies(docs, words), size))
+    postings = stored_postings(docs, looked_up, size)
+    columns = [*common.KEY, "item_id", "start", "length"]
+    met = meetings(looked_up, postings)
+    exact = met.where("there = phrase").select(*columns, F.lit("exact").alias("kind")).distinct()
     if not proximity:
         return exact
-    near = candidates(looked_up, postings, slop)
-    return exact.unionByName(near.select(*common.KEY, "item_id", "start", "length", F.lit("near").alias("kind")))
+    near = meetings(looked_up, postings, slop)
+    return exact.unionByName(near.select(*columns, F.lit("near").alias("kind")))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -188,32 +184,39 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFra
     n_words, n_hit, n_items, items (sorted as text), contaminated (at least one
     word in twenty is hit).
     """
-    found = _verified(docs, candidates(*_index(docs, benchmark, size)))
+    exact = matches(docs, benchmark, size, proximity=False)
+    per_doc = exact.groupBy(*common.KEY).agg(
+        F.collect_set(F.struct("start", "length")).alias("spans"),
+        F.collect_set(F.col("item_id").cast("string")).alias("items"),
+    )
     covered = F.array_distinct(
         F.flatten(
             F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))
         )
     )
-    n_hit = F.coalesce(F.size(covered), F.lit(0)).cast("long")
-    items = F.array_distinct(F.transform("spans", lambda s: s["item_id"].cast("string")))
-    counted = found.select(
-        *common.KEY,
-        "n_words",
-        F.when(F.col("spans").isNull(), F.lit(0).cast("long")).otherwise(n_hit).alias("n_hit"),
-        F.sort_array(F.coalesce(items, F.array().cast("array<string>"))).alias("items"),
+    hits = per_doc.select(*common.KEY, F.size(covered).cast("long").alias("n_hit"), "items")
+    counted = common.keyed(docs, "text").select(
+        *common.KEY, common.n_words(common.pieces(F.col("text"))).alias("n_words")
     )
-    return counted.select(
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    # Names of their own: copies in between have the documents' columns, too.
+    lists = hits.withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
+    return counted.join(lists, same, "left").select(
         *common.KEY,
         "n_words",
-        "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        "items",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        n_hit.alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sort_array(items).alias("items"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    dirty = report(docs, benchmark, size).where("contaminated").select(*common.KEY).distinct()
+    dirty = report(docs, benchmark, size).where("contaminated").select(
+        F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()
     plain = common.beside(docs, "doc_id", text_key=F.xxhash64("text"))
-    return plain.join(dirty, common.same_document(plain, dirty), "left_anti").select("row.*")
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
+    return plain.join(dirty, same, "left_anti").select("row.*")
