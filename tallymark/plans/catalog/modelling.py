@@ -120,7 +120,7 @@ def train_decision_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _forest(features: str = "8"):
     return train.estimator(
-        "forest", numTrees=20, maxDepth=6, impurity="entropy", featureSubsetStrategy=features, seed=_SEED
+        "forest", numTrees=100, maxDepth=30, impurity="entropy", featureSubsetStrategy=features, seed=_SEED
     )
 
 
@@ -199,7 +199,7 @@ def train_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _train_and_score(spark, sf_dir, "svm", maxIter=30, regParam=0.01)
+    return _train_and_score(spark, sf_dir, "svm", maxIter=100, regParam=0.01)
 
 
 def train_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from tallymark.operators import encode, shape, train
 from tallymark.sources import readers, sinks
 
 # Parameters of the two models.
-FOREST = {"numTrees": 25, "maxDepth": 10, "seed": 1}
+FOREST = {"numTrees": 25, "maxDepth": 30, "seed": 1}
 BOOSTED = {
     "stepSize": 0.3, "maxDepth": 5, "minInstancesPerNode": 3, "subsamplingRate": 0.7,
     "featureSubsetStrategy": "0.7", "maxIter": 250, "seed": 1,
