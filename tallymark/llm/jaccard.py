@@ -10,9 +10,7 @@ Equal sets are one node, so copies cost nothing.  The nodes that share leading
 tokens are first compared with one of them only, in the middle of its family;
 what that links is one component.  Other pairs are made only between
 different components that still share a token at places that allow enough common
-tokens; where many nodes share one, only between those that share a leading token
-under every further order, too.  No link is lost: a pair that is skipped lies in
-one component, or cannot be similar.
+tokens.  No link is lost: a pair that is skipped lies in one component.
 """
 
 from __future__ import annotations
@@ -39,9 +37,6 @@ FREQUENT = 1_000_000
 # Rows of frequent tokens are spread over so many tasks.
 _SPREAD = 16
 
-# In groups of so many nodes that are not linked yet all pairs are looked at; larger ones are split up.
-PAIRED = 24
-
 _ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 _BYTES = 5  # kept of a token for comparing two sets
 
@@ -174,31 +169,16 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return full.reshape(-1).view("<u8")
 
 
-def _leaders(tokens: np.ndarray, order: np.uint64, percent: int) -> np.ndarray:
-    """The leading tokens of a set under an order, as their ranks."""
-    ranks, p = mixed(tokens ^ order), leading(len(tokens), percent)
-    return np.partition(ranks, p - 1)[:p] if p < len(ranks) else ranks
-
-
-def _further(k: int, percent: int):
-    """(node, number, token): the leading tokens of every set under each further order."""
-    schema = pa.schema([("node", pa.int64()), ("number", pa.int32()), ("token", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tokens in shingle_sets(batch.column("text"), k):
-                for number, order in enumerate(_ORDERS if len(tokens) else ()):
-                    found = _leaders(tokens, order, percent)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), signature(tokens)), pa.int64()),
-                         pa.array(np.full(len(found), number, np.int32)), pa.array(found.view(np.int64))], schema=schema)
-
-    return run, "node long, number int, token long"
-
-
 def _share_leading(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Both sets share a leading token under each of the further orders."""
-    return all(np.isin(_leaders(a, order, percent), _leaders(b, order, percent)).any() for order in _ORDERS)
+    for order in _ORDERS:
+        first = []
+        for tokens in (a, b):
+            ranks, p = mixed(tokens ^ order), leading(len(tokens), percent)
+            first.append(np.partition(ranks, p - 1)[:p] if p < len(ranks) else ranks)
+        if not np.isin(*first).any():
+            return False
+    return True
 
 
 def _linked(percent: int):
@@ -281,45 +261,6 @@ def _groups(texts: DataFrame, frequent: np.ndarray, k: int, percent: int) -> Dat
     return reliable_copy(found.join(single, ["often", "group"], "left_anti").drop("often"))
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes of different components that meet under ``shared`` and may be similar."""
-    one = rows.select("shared", F.col("node").alias("a"), "n", "place", F.col("component").alias("c"))
-    other = rows.select(
-        "shared", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("place2"),
-        F.col("component").alias("d"),
-    )
-    return one.join(other, "shared").where(
-        (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _possible(percent)
-    ).select("a", "b")
-
-
-def _split_up(still: DataFrame, texts: DataFrame, holders: DataFrame, k: int, percent: int) -> DataFrame:
-    """Large groups, split by the leading tokens of their nodes under the further orders.
-
-    Similar sets share a leading token under every order, so nodes need to meet only
-    where they share one of each: a token that leads thousands of sets which have
-    nothing else in common makes no pairs of them.
-    """
-    large = still.where(F.col("nodes") > PAIRED).drop("nodes")
-    nodes = large.select("node").distinct()
-    wanted = reliable_copy(holders.join(nodes, "node", "left_semi").select(*common.KEY))
-    some = common.broadcast_if_small(wanted)
-    leaders = reliable_copy(
-        texts.join(some, common.same_document(texts, some), "left_semi").select("text").mapInArrow(*_further(k, percent)).distinct()
-    )
-    shared = F.array("group")
-    rows = large.select(shared.alias("shared"), "node", "n", "place", "component")
-    for number in range(len(_ORDERS)):
-        own = leaders.where(F.col("number") == number).select("node", "token")
-        rows = rows.join(own, "node").select(
-            F.concat("shared", F.array("token")).alias("shared"), "node", "n", "place", "component"
-        )
-        # Only tokens under which different components meet are followed.
-        open_ = rows.groupBy("shared").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-        rows = reliable_copy(rows.join(open_.select("shared"), "shared", "left_semi"))
-    return rows
-
-
 def links(docs: DataFrame, described: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes that together give all components."""
     texts = common.keyed(docs, "text")
@@ -352,13 +293,20 @@ def links(docs: DataFrame, described: DataFrame, k: int = K, percent: int = PERC
         "group", "node", "n", "place", F.coalesce("component", "node").alias("component")
     )
     open_groups = placed.groupBy("group").agg(
-        F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("nodes")
-    ).where("c < d").select("group", "nodes")
-    still = reliable_copy(placed.join(open_groups, "group"))
-    few = still.where(F.col("nodes") <= PAIRED).select(F.array("group").alias("shared"), "node", "n", "place", "component")
-    pairs = _pairs(few, percent).unionByName(_pairs(_split_up(still, texts, holders, k, percent), percent))
-    rest = pairs.distinct().join(
-        first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
+        F.min("component").alias("c"), F.max("component").alias("d")
+    ).where("c < d").select("group")
+    still = reliable_copy(placed.join(open_groups, "group", "left_semi"))
+    one = still.select("group", F.col("node").alias("a"), "n", "place", F.col("component").alias("c"))
+    other = still.select(
+        "group", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("place2"),
+        F.col("component").alias("d"),
+    )
+    rest = (
+        one.join(other, "group")
+        .where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _possible(percent))
+        .select("a", "b")
+        .distinct()
+        .join(first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
     return first.unionByName(_verified(reliable_copy(rest), texts, holders, k, percent))
 

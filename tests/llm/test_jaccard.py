@@ -98,35 +98,3 @@ def test_shingle_sets_do_not_depend_on_batches(monkeypatch):
     assert [s.tolist() for s in shingle_sets(pa.array(texts))] == whole
     assert [s.tolist() for s in shingle_sets(pa.array(["z", *texts]).slice(1))] == whole
     assert signature(np.array(whole[0], np.uint64)) == signature(np.array(whole[5], np.uint64))
-
-
-def test_a_token_that_leads_thousands_of_unlinked_sets(spark, monkeypatch):
-    """One shingle leads every set; a few of the sets are near copies."""
-    rng = random.Random(11)
-    hot = "alpha beta gamma delta epsilon"
-    rows = []
-    for i in range(3000):
-        own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(4, 9)))
-        rows.append((i, f"{hot} {own}"))
-        if i % 100 == 0:
-            rows += [(10_000 + i, f"{hot} {own} more"), (20_000 + i, f"{hot} {own}")]
-    monkeypatch.setattr(jaccard, "_frequent", lambda described: np.empty(0, np.uint64))
-    made = []
-    was = jaccard._verified
-
-    def counted(pairs, *rest):
-        made.append(pairs.count())
-        return was(pairs, *rest)
-
-    monkeypatch.setattr(jaccard, "_verified", counted)
-    monkeypatch.setattr(jaccard, "PAIRED", 5)
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in jaccard.classes(docs).collect()}
-    expected = {i: i for i, _ in rows}
-    sets = {i: shingles(t) for i, t in rows}
-    for i in range(0, 3000, 100):
-        expected[20_000 + i] = i
-        if 100 * len(sets[i] & sets[10_000 + i]) >= 80 * len(sets[i] | sets[10_000 + i]):
-            expected[10_000 + i] = i
-    assert got == expected
-    assert sum(made) < 20 * len(rows)
