@@ -98,8 +98,9 @@ class Stripes:
             langs[np.fromiter(index.values(), np.int64, len(index))] = k
         kept: list[tuple[str, list[bytes]]] = []
         if lang is not None and n > 2:
-            tail = ids[n - 2 : n]
-            kept = [(lang, [names[i] if i != _BREAK else b"\n" for i in tail.tolist()])]
+            own = list(self.index)
+            # After a text of blanks they may be of the text before, in another language.
+            kept = [(lang, [b"\n"]) if i == _BREAK else (own[langs[i]], [names[i]]) for i in ids[n - 2 : n].tolist()]
             n -= 2
         if n > 0:
             yield from self._elements(ids, n, names, langs)

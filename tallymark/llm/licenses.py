@@ -7,8 +7,6 @@ other words are then compared at their relative positions.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -82,6 +82,18 @@ def test_small_flushes_and_slices_give_the_same(spark, monkeypatch):
     assert {(r.lang, r.phrase): r.n for r in whole} == {k: n for k, n in got.items()}
 
 
+def test_words_keep_their_language_over_a_flush(monkeypatch):
+    monkeypatch.setattr(collocations, "_FLUSH", 3)
+    stripes, got = collocations.Stripes(2), Counter()
+    done = [b for lang, text in (("en", b"one two"), ("de", b" "), ("fr", b""), ("de", b"drei")) for b in stripes.add(lang, text)]
+    for batch in [*done, *stripes.flush()]:
+        for row in batch.to_pylist():
+            for phrase, n in zip(row["phrases"].split("\n"), row["times"]):
+                got[row["lang"], phrase] += n
+    assert {k: n for k, n in got.items() if n} == {
+        ("en", ""): 2, ("en", "one"): 1, ("en", "two"): 1, ("en", "one two"): 1, ("de", ""): 1, ("de", "drei"): 1}
+
+
 def test_ties_top_and_repeated_rows(spark):
     rows = [(1, "q w. q w. z y. z y. ", "en", "p", "n", "b", "r")] * 5
     got = result(spark, rows)
