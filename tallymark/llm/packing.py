@@ -28,8 +28,8 @@ SENTENCE_PENALTY = 2.0
 FORCED_PENALTY = 48.0
 
 _CHUNK = 400_000  # ids in one run of the dynamic program; open ends are carried on
-_WORDS = 600_000  # words whose ids a worker keeps
-_TEXTS = 1_000_000  # characters of texts that are looked up together
+_WORDS = 450_000  # words whose ids a worker keeps
+_TEXTS = 400_000  # characters of texts that are looked up together
 
 
 _SENTENCE_ENDS = frozenset((".", "!", "?", "\n"))
