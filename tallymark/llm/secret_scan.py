@@ -33,6 +33,8 @@ KINDS = ("assign", "access", "hex", "literal")
 MIN_SCORE = 0.4
 # So many definitions are followed from one target at most.
 MAX_STEPS = 64
+# Workers keep the scores of names up to this length; longer ones are scored each time.
+SHORT_NAME = 400
 
 # Words of a name that speak for a secret, and words that speak against one.
 _TELLING = {
@@ -47,6 +49,7 @@ _HARMLESS = frozenset(
     "prompt placeholder regex pattern policy min max limit expiry expires expiration ttl timeout public title text "
     "message error format prefix suffix header version enabled required reset help description example".split()
 )
+_PART = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _PLACEHOLDER = re.compile(
     r"(?i)change.?me|example|placeholder|dummy|redacted|your[_\- ]|insert|replace|todo|x{4,}|\*{3,}|\.{3,}|^<.*>$|^\$|\{\{|%\(|%s|"
     r"^(none|null|nil|true|false|undefined|string|str|bytes|password|passwd|secret|token|default|empty)$"
@@ -216,18 +219,23 @@ def _followed(pair: _Pair, known: dict[str, list[_Pair]]) -> Iterator[tuple[tupl
 # Scores -----------------------------------------------------------------------
 
 
-@lru_cache(20_000)
 def name_score(name: str) -> float:
-    """How much a target's name speaks for a secret, 0 to 1."""
-    parts = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", name[:400])
-    words = [p.lower() for p in parts]
+    """How much a target's whole name speaks for a secret, 0 to 1."""
+    return _short_name_score(name) if len(name) <= SHORT_NAME else _name_score(name)
+
+
+def _name_score(name: str) -> float:
     unlikely, factor = 1.0, 1.0
-    for word in words:
+    for part in _PART.finditer(name):
+        word = part[0].lower()
         unlikely *= 1 - _TELLING.get(word, 0.0)
         factor *= 0.2 if word in _HARMLESS else 1.0
     return (1 - unlikely) * factor
 
 
+_short_name_score = lru_cache(20_000)(_name_score)
+
+
 def literal_score(literal: str, bare: bool = False) -> float:
     """How much a literal looks like a secret, 0 to 1: bits of its letters, 32 are enough."""
     if len(literal) < 6 or _PLACEHOLDER.search(literal) or any(c.isspace() for c in literal):

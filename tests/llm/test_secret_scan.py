@@ -129,3 +129,11 @@ def test_constants_are_followed_for_a_bounded_way():
     near = f"c0 = 'zzTop9182kLm'\n{steps}\npwd = {names[secret_scan.MAX_STEPS - 1]}"
     assert [x[1] for x in found(near)] == ["pwd"]
     assert found(f"c0 = 'zzTop9182kLm'\n{steps}\npwd = {names[-1]}") == []
+
+
+def test_long_names_are_read_whole():
+    filler = "abc_" * 200
+    assert [x[1] for x in found(f"{filler}pwd = 'zzTop9182kLm'")] == [f"{filler}pwd"]
+    assert found(f"pwd_{filler}hint = 'zzTop9182kLm'") == []
+    text = f"""{{"{'of the ' * 100}Passphrase": "zzTop9182kLm"}}"""
+    assert [x[0] for x in found(text)] == ["zzTop9182kLm"]
