@@ -87,33 +87,50 @@ def encode_columns(df: DataFrame, columns: Sequence[str], levels: DataFrame, kee
     """Replace several text columns by their indexes; values without one give NULL.
 
     With ``keep`` these share one extra index after all others of their column.
-    Levels that are few altogether are broadcast, and the table is not shuffled.
-    Otherwise the cells of the table are laid out as (row, column, value), joined
-    with the levels once for all columns, and regrouped by row.
+    The levels of columns that have few are broadcast, and the table is not
+    shuffled for them: such levels hold large shares of the rows, which a join
+    would put into a few tasks.  The cells of the other columns are laid out as
+    (row, column, value), joined with the levels once, and regrouped by row.
     """
     counted = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
     sizes = dict.fromkeys(columns, 0) | {r["column"]: r["n"] for r in counted if r["column"] in columns}
-    encode = _encode_narrow if sum(sizes.values()) <= MAX_LEVELS else _encode_long
-    return encode(df, columns, levels, {c: F.lit(float(n)) if keep else F.lit(None).cast("double") for c, n in sizes.items()})
+    unseen = {c: F.lit(float(n)) if keep else F.lit(None).cast("double") for c, n in sizes.items()}
+    narrow = narrow_columns(sizes)
+    wide = [c for c in sizes if c not in narrow]
+    encoded = _encode_narrow(df, narrow, levels, unseen) if narrow else df
+    return _encode_long(encoded, wide, levels, unseen) if wide else encoded
+
+
+def narrow_columns(sizes: Mapping[str, int]) -> list[str]:
+    """The columns with the fewest levels, as many as have up to MAX_LEVELS altogether."""
+    found, total = [], 0
+    for column in sorted(sizes, key=lambda c: sizes[c]):
+        total += sizes[column]
+        if total > MAX_LEVELS:
+            break
+        found.append(column)
+    return found
 
 
 def _encode_narrow(df: DataFrame, columns: Sequence[str], levels: DataFrame, unseen: Mapping[str, Column]) -> DataFrame:
     rows = df.select(F.struct("*").alias("__row"))
     for i, column in enumerate(columns):
         own = of_column(levels, column).select(F.col("value").alias(f"__value_{i}"), F.col("index").alias(f"__index_{i}"))
-        rows = rows.join(F.broadcast(own), F.col("__row")[column] == F.col(f"__value_{i}"), "left").drop(f"__value_{i}")
+        value = F.col("__row")[column].cast(own.schema[0].dataType)
+        rows = rows.join(F.broadcast(own), value == F.col(f"__value_{i}"), "left").drop(f"__value_{i}")
     indexes = {c: F.coalesce(F.col(f"__index_{i}"), unseen[c]) for i, c in enumerate(columns)}
     return rows.select(*[indexes.get(c, F.col("__row")[c]).alias(c) for c in df.columns])
 
 
 def _encode_long(df: DataFrame, columns: Sequence[str], levels: DataFrame, unseen: Mapping[str, Column]) -> DataFrame:
+    kind = levels.schema["value"].dataType
     # The numbers of the rows must not change between attempts of a task.
     rows = reliable_copy(df.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id")))
     cells = [
         F.struct(
             (F.col("row") if i == 0 else F.lit(None)).alias("row"),
             F.lit(c).alias("column"),
-            F.col("row")[c].alias("value"),
+            F.col("row")[c].cast(kind).alias("value"),
         )
         for i, c in enumerate(columns)
     ]
