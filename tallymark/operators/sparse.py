@@ -2,9 +2,10 @@
 
 ``encode.feature_stages`` keeps label lists on the driver and one attribute per
 slot in the schema, which is for columns whose levels have been counted.  Here
-the slots are a distributed table (column, value, slot): the cells of a row are
-laid out, joined with it, all columns in one join, and grouped into a sparse
-vector.  The driver knows the number of levels of each column and nothing else.
+the slots are a distributed table (column, value, slot): the slots of columns with
+few levels are broadcast; the other cells of a row are laid out, joined with the
+table, all columns in one join, and grouped into a sparse vector.  The driver
+knows the number of levels of each column and nothing else.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tallymark.operators.encode import level_indexes
+from tallymark.operators.encode import level_indexes, narrow_columns
 from tallymark.session import reliable_copy
 
 _VECTOR = StructType([StructField("v", VectorUDT())])
@@ -32,6 +33,7 @@ class Slots:
     numbers: Mapping[str, int]  # number column -> its slot
     size: int
     keep_unseen: bool
+    narrow: Sequence[str] = ()  # text columns whose levels may be broadcast together
 
 
 def fit_slots(
@@ -61,7 +63,9 @@ def fit_slots(
         width = F.when(own, F.lit(max(0, counts.get(column, 0) - (not keep_unseen))).cast("long")).otherwise(width)
     index = F.col("index").cast("long")
     slotted = levels.select("column", "value", F.when(index < width, start + index).cast("int").alias("slot"))
-    return Slots(slotted, first, {c: size + i for i, c in enumerate(numbers)}, size + len(numbers), keep_unseen)
+    numbered = {c: size + i for i, c in enumerate(numbers)}
+    narrow = narrow_columns({c: counts.get(c, 0) for c in categories})
+    return Slots(slotted, first, numbered, size + len(numbers), keep_unseen, narrow)
 
 
 def slot_names(slots: Slots) -> DataFrame:
@@ -74,31 +78,50 @@ def slot_names(slots: Slots) -> DataFrame:
     return rows.unionAll(rows.sparkSession.range(1).select(F.inline(F.array(*cells))))
 
 
-def _cells(df: DataFrame, key: str, slots: Slots) -> DataFrame:
-    """(key, row, column, text): one row per text cell; the first carries the whole row."""
-    names = list(slots.first) or [None]
+def _slot(slots: Slots, column: Column, text: Column, unseen: Column, slot: Column) -> Column:
+    """A cell's slot; without ``keep_unseen`` a value that no training row had fails the job."""
+    if slots.keep_unseen:
+        return slot
+    message = F.concat(F.lit("no such level in training: "), column, F.lit("="), F.coalesce(text, F.lit("NULL")))
+    return F.when(unseen, F.raise_error(message).cast("int")).otherwise(slot)
+
+
+def _rows(df: DataFrame, key: str, slots: Slots) -> DataFrame:
+    """(key, own): the whole row, and the slots of its columns with few levels."""
+    rows = df.select(F.col(key).alias("__key"), F.struct("*").alias("__row"))
+    given = []
+    for i, name in enumerate(slots.narrow):
+        own = slots.levels.where(F.col("column") == name).select(
+            F.col("value").cast("string").alias(f"__value_{i}"), F.col("slot").alias(f"__slot_{i}"))
+        text, value = F.col("__row")[name].cast("string"), F.col(f"__value_{i}")
+        rows = rows.join(F.broadcast(own), text == value, "left")
+        given.append(_slot(slots, F.lit(name), text, value.isNull(), F.col(f"__slot_{i}")))
+    known = F.array(*given).cast("array<int>")
+    return rows.select("__key", F.struct(F.col("__row").alias("row"), known.alias("known")).alias("own"))
+
+
+def _found(df: DataFrame, key: str, slots: Slots) -> DataFrame:
+    """(key, own, slot): a row's other cells with their slots; the first carries the whole row.
+
+    A cell without a slot has NULL.
+    """
+    rows = _rows(df, key, slots)
+    names = [c for c in slots.first if c not in slots.narrow]
+    if not names:
+        return rows.withColumn("slot", F.lit(None).cast("int"))
     cells = [
         F.struct(
-            (F.struct("*") if i == 0 else F.lit(None)).alias("row"),
-            F.lit(name).cast("string").alias("column"),
-            (F.col(name).cast("string") if name else F.lit(None).cast("string")).alias("text"),
+            (F.col("own") if i == 0 else F.lit(None)).alias("own"),
+            F.lit(name).alias("column"),
+            F.col("own")["row"][name].cast("string").alias("text"),
         )
         for i, name in enumerate(names)
     ]
-    return df.select(F.col(key).alias("__key"), F.inline(F.array(*cells)))
-
-
-def _found(df: DataFrame, key: str, slots: Slots) -> DataFrame:
-    """(key, row, slot): cells with their slots; a cell without one has NULL."""
-    cells = _cells(df, key, slots)
+    laid_out = rows.select("__key", F.inline(F.array(*cells)))
     levels = slots.levels.select(F.col("column").alias("__column"), F.col("value").alias("__value"), "slot")
-    joined = cells.join(levels, (F.col("column") == F.col("__column")) & (F.col("text") == F.col("__value")), "left")
-    slot = F.col("slot")
-    if not slots.keep_unseen:
-        unseen = F.col("__column").isNull() & F.col("column").isNotNull()
-        message = F.concat(F.lit("no such level in training: "), F.col("column"), F.lit("="), F.coalesce("text", F.lit("NULL")))
-        slot = F.when(unseen, F.raise_error(message).cast("int")).otherwise(slot)
-    return joined.select("__key", "row", slot.alias("slot"))
+    joined = laid_out.join(levels, (F.col("column") == F.col("__column")) & (F.col("text") == F.col("__value")), "left")
+    slot = _slot(slots, F.col("column"), F.col("text"), F.col("__column").isNull(), F.col("slot"))
+    return joined.select("__key", "own", slot.alias("slot"))
 
 
 def _sparse(size: int, indices: Column, values: Column) -> Column:
@@ -116,14 +139,15 @@ def with_features(df: DataFrame, key: str, slots: Slots, name: str = "features")
     place in the vector.  Values that belong to numbers must be finite.
     """
     grouped = _found(df, key, slots).groupBy("__key").agg(
-        F.first("row", ignorenulls=True).alias("row"),
-        F.count("row").alias("rows"),
+        F.first("own", ignorenulls=True).alias("own"),
+        F.count("own").alias("rows"),
         F.collect_list("slot").alias("slots"),
     )
-    one = F.when(F.col("rows") == 1, F.col("row")).otherwise(
+    one = F.when(F.col("rows") == 1, F.col("own")).otherwise(
         F.raise_error(F.concat(F.lit("the key repeats: "), F.coalesce(F.col("__key").cast("string"), F.lit("NULL"))))
     )
-    rows = grouped.select(one.alias("row"), F.array_sort("slots").alias("slots"))
+    all_ = F.array_sort(F.concat("slots", F.filter(F.col("own")["known"], lambda s: s.isNotNull())))
+    rows = grouped.select(one.alias("own"), all_.alias("slots")).select("own.row", "slots")
     given = [
         F.struct(F.lit(slot).alias("slot"), F.coalesce(F.col("row")[c].cast("double"), _missing(c)).alias("value"))
         for c, slot in slots.numbers.items()

@@ -197,6 +197,46 @@ def test_many_columns_either_way(spark, monkeypatch):
     assert narrow.columns == long.columns == df.columns and plan.count("Join LeftOuter") == 1
 
 
+def few_and_many(spark):
+    """Two levels and a NULL, beside as many levels as rows."""
+    few = F.when(F.col("id") % 10 > 0, F.when(F.col("id") % 2 == 0, "even").otherwise("odd"))
+    return spark.range(60).select(
+        "id", few.alias("few"), F.concat(F.lit("m"), "id").alias("many"), (F.col("id") % 3).cast("double").alias("n"))
+
+
+def test_few_levels_beside_many_are_broadcast(spark, monkeypatch):
+    df = few_and_many(spark)
+    levels = encode.level_indexes(df.where("id < 40"), ["few", "many"], "first_seen", by="id")
+    plain = df
+    for c in ("few", "many"):
+        plain = encode.apply_levels(plain, c, encode.of_column(levels, c), f"__{c}", True)
+    shuffled, real = [], encode._encode_long
+    monkeypatch.setattr(encode, "_encode_long", lambda df, columns, *a: shuffled.extend(columns) or real(df, columns, *a))
+    monkeypatch.setattr(encode, "MAX_LEVELS", 20)
+    got = encode.encode_columns(df, ["few", "many"], levels, True)
+    expected = plain.select("id", F.col("__few").alias("few"), F.col("__many").alias("many"), "n")
+    assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert shuffled == ["many"]
+
+
+def test_slots_of_few_levels_beside_many(spark, monkeypatch):
+    df = few_and_many(spark)
+    monkeypatch.setattr(encode, "MAX_LEVELS", 20)
+    slots = sparse.fit_slots(df.where("id < 40"), ["few", "many"], ["n"], keep_unseen=True)
+    assert sparse._found(df, "id", slots).count() == 60  # one cell a row, not two
+    names = {r.slot: (r.column, r.value) for r in sparse.slot_names(slots).collect()}
+    for r in sparse.with_features(df, "id", slots).collect():
+        filled = dict(zip(r.features.indices.tolist(), r.features.values.tolist()))
+        expected = [("few", r.few)] * (r.few is not None) + [("many", r.many)] * (r.id < 40)
+        assert [names[i] for i in filled if names[i][0] != "n"] == expected
+        assert filled.get(slots.numbers["n"], 0.0) == r.n and len(filled) == len(expected) + (r.n != 0)
+    strict = sparse.fit_slots(df.where("few IS NOT NULL"), ["few", "many"], ["n"])
+    with pytest.raises(PySparkException, match="no such level in training: few=NULL"):
+        sparse.with_features(df.where("id = 10"), "id", strict).collect()
+    with pytest.raises(PySparkException, match="no such level in training: many=other"):
+        sparse.with_features(df.where("id = 11").withColumn("many", F.lit("other")), "id", strict).collect()
+
+
 def test_products_are_those_of_spark(rows):
     expanded = PolynomialExpansion(degree=3, inputCol="features", outputCol="all").transform(vectors(rows, ["a", "c", "x"]))
     ours = encode.expand(rows, ["a", "c", "x"], 3)
