@@ -77,6 +77,20 @@ def ready(df: DataFrame, in_memory: bool = False) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+# A forest keeps a number for every row and tree in the memory of its tasks: so many in each.
+ENTRIES = 25_000_000
+
+
+def _spread(rows: DataFrame, model: Estimator) -> DataFrame:
+    """``rows``, dealt out evenly to more tasks where one has too many for a forest's trees."""
+    most = max(1, ENTRIES // model.getOrDefault("numTrees"))
+    sizes = rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.sum("n").alias("all"), F.max("n").alias("largest")).first()
+    if (found["largest"] or 0) <= most:
+        return rows
+    return reliable_copy(rows.repartition(-(-found["all"] // most)))
+
+
 # Fits that go over the table about once: a copy would cost more than it saves.
 _ONE_PASS = (LinearRegression, NaiveBayes)
 
@@ -113,8 +127,9 @@ def fit_several(
         return {name: PipelineModel([*features.stages, model.fit(features.transform(train))]) for name, model in models.items()}
     with ready(train.select(*_read_columns(train, stages, list(models.values()))), in_memory) as rows:
         features = Pipeline(stages=list(stages)).fit(rows)
+        spread = {n: _spread(rows, model) if model.hasParam("numTrees") else rows for n, model in models.items()}
         fitted = {
-            name: model.fit(features.transform(rows).select(*_used_columns(model))) for name, model in models.items()
+            name: model.fit(features.transform(spread[name]).select(*_used_columns(model))) for name, model in models.items()
         }
     return {name: PipelineModel([*features.stages, model]) for name, model in fitted.items()}
 

@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -175,3 +175,17 @@ def test_threshold_moves_predictions(two_classes):
         model = train.fit(two_classes, stages, train.estimator("logistic", threshold=threshold))
         counts.append(train.score(model, two_classes, ["id"]).where("prediction = 1").count())
     assert counts[0] > counts[1]
+
+
+def test_no_task_of_a_forest_has_too_many_rows(two_classes, monkeypatch):
+    class Seen(RandomForestClassifier):
+        def _fit(self, dataset):
+            sizes.extend(r["count"] for r in dataset.groupBy(F.spark_partition_id()).count().collect())
+            return super()._fit(dataset)
+
+    sizes = []
+    monkeypatch.setattr(train, "ENTRIES", 500, raising=False)
+    rows = two_classes.coalesce(1)
+    model = train.fit(rows, [VectorAssembler(inputCols=["a", "b"], outputCol="features")], Seen(numTrees=5, seed=1))
+    assert sum(sizes) == 400 and max(sizes) <= 110
+    assert model.transform(rows).where("prediction = label").count() > 360
