@@ -43,7 +43,7 @@ def word_count(normal: Column) -> Column:
 
 
 def _takes_part(normal: Column, n: Column, min_words: int) -> Column:
-    return (n >= min_words) | (F.length(normal) >= MIN_CHARS)
+    return (F.length(normal) >= MIN_CHARS) | (n >= min_words)
 
 
 def _long_lines(docs: DataFrame, min_words: int) -> DataFrame:
@@ -62,13 +62,18 @@ def _halves(normal: Column, n: Column) -> Column:
     A partner may have as many words, one fewer or one more, so ``h`` follows
     from the length of the shorter of the two: at most half of it.
     """
-    keys = []
-    for m in (n, n - 1):
+    def keys(m: Column) -> list[Column]:
         h = F.call_function("shiftleft", F.lit(1), (F.floor(F.log2(m)) - 1).cast("int"))
-        for last, count in ((False, h), (True, -h)):
-            part = F.call_function("substring_index", normal, F.lit(" "), count)
-            keys.append(F.struct(F.xxhash64(F.lit(last), h, part).alias("half"), F.lit(last).alias("last"), h.alias("h")))
-    return F.array_distinct(F.array(*keys))
+        return [_half(normal, last, h) for last in (False, True)]
+
+    # Lines of n and n - 1 words have the same h, unless n is a power of two.
+    power = n.bitwiseAND(n - 1) == 0
+    return F.when(power, F.array(*keys(n), *keys(n - 1))).otherwise(F.array(*keys(n)))
+
+
+def _half(normal: Column, last: bool, h: Column) -> Column:
+    part = F.call_function("substring_index", normal, F.lit(" "), -h if last else h)
+    return F.struct(F.xxhash64(F.lit(last), h, part).alias("half"), F.lit(last).alias("last"), h.alias("h"))
 
 
 def first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -267,8 +272,8 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, near: bool = True)
     # One-element lists, exploded: what is made before them is not made again by later expressions.
     split_up = joined.select("*", F.explode_outer(F.array(F.split("text", "\n"))).alias("lines"))
     short = F.transform(
-        "lines",
-        lambda line, i: F.when(~_takes_part(normal_form(line), word_count(normal_form(line)), min_words), i),
+        F.transform("lines", normal_form),
+        lambda normal, i: F.when(~_takes_part(normal, word_count(normal), min_words), i),
     )
     stay = F.array_sort(
         F.array_union(F.filter(short, lambda i: i.isNotNull()), F.coalesce("nos", F.array().cast("array<int>")))

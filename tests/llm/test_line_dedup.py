@@ -98,3 +98,10 @@ def test_long_lines_of_few_words(spark):
     got = result(spark, rows)
     assert got[1] == rows[0][1]
     assert got[2] == f"own\n{han}x\n{four}beta\nshort line" and got[3] == f"{url}y"
+
+
+def test_lines_are_normalized_once_when_texts_are_rebuilt(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six\nShort"), (2, "ONE two three four  five six\nshort")], "doc_id long, text string")
+    got = line_dedup.deduplicated(docs)
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(1, "one two three four five six\nShort"), (2, "short")}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
