@@ -9,9 +9,11 @@ different documents.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from pathlib import Path
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_kept: dict[str, Any] = {}
+
+
+def kept(key: str, make: Callable[[], Any]) -> Any:
+    """One thing per Python worker that tasks of one operator share, made when first wanted."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Drop what earlier tasks left in this Python worker, before a task that needs much memory."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tallymark.llm import common
+
 LENGTH = 2048
 END_ID = 1
 SENTENCE_PENALTY = 2.0
@@ -159,14 +161,9 @@ class WordIds:
         return out
 
 
-_workers: dict[str, WordIds] = {}
-
-
 def _tokenizer(path: str) -> WordIds:
     """One per Python worker: tasks that follow each other share its words."""
-    if path not in _workers:
-        _workers[path] = WordIds(path)
-    return _workers[path]
+    return common.kept(path, lambda: WordIds(path))
 
 
 def cuts(places: np.ndarray, penalties: np.ndarray, length: int = LENGTH) -> list[int]:

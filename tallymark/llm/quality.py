@@ -71,19 +71,30 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str]]]:
         yield at, len(texts), held
 
 
+def _counted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of all parts, ascending, and how often each occurs; the parts are emptied."""
+    grams = np.concatenate(parts)
+    parts.clear()
+    grams.sort()
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])[: len(grams)])
+    return grams[first], np.diff(first, append=len(grams))
+
+
 def _counter():
     schema = pa.schema([("gram", pa.int64()), ("times", pa.int64())])
 
     def summed(trained: list[np.ndarray], others: list[np.ndarray]) -> pa.RecordBatch:
-        keys, times = np.unique(np.concatenate(trained), return_counts=True)
-        rest = np.setdiff1d(np.unique(np.concatenate(others)), keys, assume_unique=True)
+        keys, times = _counted(trained)
+        rest = _counted(others)[0]
+        rest = rest[~np.isin(rest, keys, assume_unique=True)]
         both = np.concatenate([keys, rest])
-        counts = np.concatenate([times.astype(np.int64), np.zeros(len(rest), np.int64)])
+        counts = np.concatenate([times, np.zeros(len(rest), np.int64)])
         return pa.RecordBatch.from_arrays([pa.array(both), pa.array(counts)], schema=schema)
 
     none = np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.let_go()
         trained, others, size = [none], [none], 0
         for batch in batches:
             good = np.array(batch.column("train").to_pylist(), bool)
@@ -175,6 +186,7 @@ def _scorer(grams: np.ndarray, nats: np.ndarray):
 
     def run_with(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            common.let_go()
             keys, values = held.value
             for batch in batches:
                 sums, counts = [], []

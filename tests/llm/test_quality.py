@@ -1,7 +1,9 @@
 import math
 import random
+import weakref
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +163,21 @@ def test_held_out_accuracy_of_a_small_table(spark):
     bad = [r.rejected for r in rows if r.quality == 0]
     assert sum(good) <= 0.08 * len(good) and sum(bad) >= 0.75 * len(bad)
     assert len({r.threshold for r in rows}) == 1
+
+
+def test_counting_begins_without_the_words_of_packing():
+    import public_tokenizers
+
+    from tallymark.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = weakref.ref(packing._tokenizer(path))
+    assert packing._tokenizer(path) is words()  # tasks of packing share them
+    batch = pa.RecordBatch.from_arrays([pa.array(["abab", "abab", "b", None]), pa.array([True, True, False, True])], names=["text", "train"])
+    run, _ = quality._counter()
+    rows = [r for out in run([batch]) for r in out.to_pylist()]
+    assert words() is None
+    grams, sizes = quality._grams(["abab"])
+    counted = {r["gram"]: r["times"] for r in rows}
+    assert len(counted) == len(rows) and all(counted[g] == 2 for g in grams.tolist()) and sizes.tolist() == [5]
+    assert sum(counted.values()) == 10 and 0 in counted.values()
