@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import encode, explain, split, train, tune
 from tallymark.plans.catalog.modelling import outcome_rows, outcome_stages
+from tallymark.session import reliable_copy
 from tallymark.sources.readers import table
 
 _CHOICES = {"regParam": [0.1, 0.01], "threshold": [0.6, 0.4]}
@@ -59,7 +60,7 @@ def split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree finds the label from one column; all others lose nothing when they are shuffled."""
-    outcomes = outcome_rows(spark, sf_dir)
+    outcomes = reliable_copy(outcome_rows(spark, sf_dir))
     model = train.fit(outcomes, outcome_stages(), train.estimator("tree", maxDepth=5, seed=7))
     columns = [c for c in outcomes.columns if c not in ("o_orderkey", "label", "o_totalprice")]
     found = explain.permutation_importance(model.transform, outcomes, "o_orderkey", columns)

@@ -132,3 +132,26 @@ def test_importance_of_used_and_unused_columns(noisy):
     assert 0.3 < found["kind"].loss < 0.6
     alone = explain.permutation_importance(model.transform, sure.limit(1), "id", ["kind"]).collect()
     assert [r.loss for r in alone] == [0.0, 0.0]
+
+
+def test_outcomes_of_the_importance_query_are_made_once(spark, monkeypatch, tmp_path):
+    from tallymark.plans.catalog import selection
+
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        made.add(1)
+        return i
+
+    def rows(spark, sf_dir):
+        id_ = F.udf(seen, "long")("id")
+        return spark.range(40).select(
+            id_.alias("o_orderkey"), F.lit("p").alias("o_orderpriority"), F.when(F.col("id") % 3 > 0, "F").otherwise("O").alias("o_orderstatus"),
+            F.lit(1.0).alias("o_totalprice"), *[(F.col("id") % i).cast("double").alias(n) for i, n in enumerate(
+                ("n_lines", "quantity", "discount", "tax"), 3)],
+            (F.col("id") % 2).cast("double").alias("n_returned"), (F.col("id") % 2).cast("double").alias("label"))
+
+    monkeypatch.setattr(selection, "outcome_rows", rows)
+    losses = {r.feature: r.loss for r in selection.permutation_importance(spark, str(tmp_path)).collect()}
+    assert made.value == 40
+    assert losses.pop("n_returned") > 0 and set(losses.values()) == {0.0}
