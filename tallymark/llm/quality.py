@@ -94,7 +94,6 @@ def _counter():
     none = np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.let_go()
         trained, others, size = [none], [none], 0
         for batch in batches:
             good = np.array(batch.column("train").to_pylist(), bool)
@@ -110,7 +109,7 @@ def _counter():
         if size:
             yield summed(trained, others)
 
-    return run, "gram long, times long"
+    return common.lean(run), "gram long, times long"
 
 
 def _suffix(order: int) -> Column:
@@ -186,7 +185,6 @@ def _scorer(grams: np.ndarray, nats: np.ndarray):
 
     def run_with(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            common.let_go()
             keys, values = held.value
             for batch in batches:
                 sums, counts = [], []
@@ -205,7 +203,7 @@ def _scorer(grams: np.ndarray, nats: np.ndarray):
                      pa.array(np.concatenate(counts) if counts else [], pa.int64())],
                     names=[*names, "nats", "n"])
 
-        return run
+        return common.lean(run)
 
     return shared, run_with
 
