@@ -80,7 +80,7 @@ def _describe(k: int):
         if held:
             yield often(held)
 
-    return run, ", ".join(f"{name} long" for name in names)
+    return common.lean(run), ", ".join(f"{name} long" for name in names)
 
 
 def _frequent(described: DataFrame) -> np.ndarray:
@@ -144,7 +144,7 @@ def _first_tokens(frequent: np.ndarray, k: int, percent: int):
                      pa.array(np.concatenate([np.arange(1, size + 1, dtype=np.int32) for size in sizes])),
                      pa.array(np.concatenate([p[3] for p in parts]))], schema=schema)
 
-    return run, "token long, node long, n int, place int, spread int"
+    return common.lean(run), "token long, node long, n int, place int, spread int"
 
 
 def _sets(k: int):
@@ -159,7 +159,7 @@ def _sets(k: int):
                     sets.append(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], schema=schema)
 
-    return run, "node long, tokens binary"
+    return common.lean(run), "node long, tokens binary"
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
@@ -197,7 +197,7 @@ def _linked(percent: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], schema=schema)
 
-    return run, "a long, b long"
+    return common.lean(run), "a long, b long"
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, holders: DataFrame, k: int, percent: int) -> DataFrame:
