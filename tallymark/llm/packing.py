@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections import defaultdict, deque
+import string
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, compress, count, islice
 
@@ -35,13 +36,48 @@ _TEXTS = 400_000  # characters of texts that are looked up together
 
 
 _SENTENCE_ENDS = frozenset((".", "!", "?", "\n"))
-# One stop or comma behind a letter and before a blank is a token of its own (İ has a mark in lower case).
-_MARK = re.compile("(?<=[a-zA-Zß-įı-ɏ])([.,])(?=[ \n]|$)")
+# Texts are cut into words as numbers of 16 bits, looked up in these tables.  Behind a letter and before a blank,
+# stops, commas and other marks are a token of their own (İ has a mark in lower case, | may end a control token).
+_LATIN = ord("ɐ")  # below it case does not count, but for İ; beyond, that is left to the tokenizer
+_BLANK, _LETTER, _MARK = 1, 2, 3
+_KINDS = np.zeros(1 << 16, np.uint8)
+_KINDS[ord(" ")] = _BLANK
+_KINDS[[ord(c) for c in string.ascii_letters]] = _LETTER
+_KINDS[[c for c in range(ord("ß"), _LATIN) if chr(c) not in "÷İ"]] = _LETTER
+_KINDS[[ord(c) for c in string.punctuation if c != "|"]] = _MARK
+_LOWER = np.arange(1 << 16, dtype=np.uint16)
+_LOWER[:_LATIN] = [ord(chr(c).lower()[0]) for c in range(_LATIN)]
 
 # Letters that the normalizer and the splitter leave as they are.
 _LETTERS = re.compile("[a-zß-öø-ÿœ]+").fullmatch
 
 
+def _words(texts: list[str]) -> tuple[list[str], list[int]]:
+    """The words of all texts one after the other, and how many each text has (at least one, that may be empty)."""
+    if not texts:
+        return [], []
+    own = [(text.replace("\n", " \n ") + " ").encode("utf-16-le") for text in texts]
+    lengths = np.fromiter(map(len, own), np.int64, len(own)) // 2
+    stops = np.cumsum(lengths)
+    letters = np.frombuffer(b"".join(own), "<u2")
+    as_is = np.fromiter(("<|" in text or "İ" in text for text in texts), bool, len(texts))
+    as_is |= np.maximum.reduceat(letters, stops - lengths) >= _LATIN
+    lower = _LOWER[letters]
+    if as_is.any():
+        np.copyto(lower, letters, where=np.repeat(as_is, lengths))
+    kinds = _KINDS[lower]
+    blanks = np.flatnonzero(kinds == _BLANK)
+    mark = kinds == _MARK
+    edges = np.flatnonzero(mark[1:] != mark[:-1]) + 1
+    edges = edges[int(mark[0]) :]  # from here on runs of marks begin and end by turns
+    first, behind = edges[::2], edges[1::2]
+    marks = first[(kinds[first - 1] == _LETTER) & (kinds[behind] == _BLANK)]
+    words = np.insert(lower, marks, ord(" ")).tobytes().decode("utf-16-le").split(" ")
+    words.pop()  # behind the last blank
+    until = np.searchsorted(blanks, stops) + np.searchsorted(marks, stops)
+    return words, np.diff(until, prepend=0).tolist()
+
+
 class WordIds:
     """Ids of texts, by way of the ids of their words between blanks and line ends.
 
@@ -55,12 +91,12 @@ class WordIds:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = None
-        self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         known = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(known.values()) + 1, bool)
         self.last[[i for token, i in known.items() if token.endswith("</w>")]] = True
@@ -100,8 +136,9 @@ class WordIds:
         self.known = len(self.index)
         plain = np.fromiter(map(bool, map(_LETTERS, words)), bool, len(words))
         if plain.any():
-            ids = self.letters.encode(" ".join(compress(words, plain)), add_special_tokens=False).ids
-            ids = np.array(ids, np.uint32)
+            own = list(compress(words, plain))
+            found = self.letters.encode_batch_fast([own], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found[0].ids, np.uint32)
             self._put(rows[plain], ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
         if not plain.all():
             others = list(compress(words, ~plain))
@@ -136,15 +173,7 @@ class WordIds:
         """The same for several texts, whose unknown words are learned together."""
         if self.known > _WORDS:
             self._forget()
-        words: list[str] = []
-        sizes = []
-        for text in texts:
-            # Case does not count; beyond Latin letters that is left to the tokenizer.
-            if "<|" not in text and "İ" not in text and (text.isascii() or max(text) < "ɐ"):
-                text = text.lower()
-            own = _MARK.sub(r" \1", text).replace("\n", " \n ").split(" ")
-            words += own
-            sizes.append(len(own))
+        words, sizes = _words(texts)
         rows = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if len(self.index) > self.known:
             self._learn()
@@ -176,35 +205,44 @@ def cuts(places: np.ndarray, penalties: np.ndarray, length: int = LENGTH) -> lis
     at = np.full(end + 1, -1, np.int64)
     at[0] = 0
     at[places] = np.arange(1, len(places) + 1)
-    lists: list[list[int]] = [[] for _ in range(len(places) + 1)]
+    ends, begins = [], []
     power = 1
     while power <= length:
         inside = np.flatnonzero(places >= power)
         before = at[places[inside] - power]
         good = before >= 0
-        for j, i in zip((inside[good] + 1).tolist(), before[good].tolist()):
-            lists[j].append(i)
+        ends.append(inside[good] + 1)
+        begins.append(before[good])
         power *= 2
+    numbers = np.concatenate(ends)
+    earlier = np.concatenate(begins)[np.argsort(numbers, kind="stable")].tolist()  # a power of two before each place
+    until = np.cumsum(np.bincount(numbers, minlength=len(places) + 1)).tolist()
     where = [0, *places.tolist()]
     costs = [0.0, *penalties.tolist()]
     best = [0.0] * len(where)
     back = [0] * len(where)
-    queue: deque[int] = deque([0])
+    # The queue, from head to tail: best + place, the place and its number.
+    values, queue, number = [0.0] * len(where), [0] * len(where), [0] * len(where)
+    head = tail = p = 0
     for j in range(1, len(where)):
         here = where[j]
-        while where[queue[0]] < here - length:
-            queue.popleft()
-        i = queue[0]
-        least = best[i] + where[i] + length - here
-        for x in lists[j]:
+        while queue[head] < here - length:
+            head += 1
+        i = number[head]
+        least = values[head] + length - here
+        stop = until[j]
+        while p < stop:
+            x = earlier[p]
+            p += 1
             if best[x] < least:
                 least, i = best[x], x
         best[j] = value = least + costs[j]
         back[j] = i
         value += here
-        while queue and best[queue[-1]] + where[queue[-1]] >= value:
-            queue.pop()
-        queue.append(j)
+        while tail >= head and values[tail] >= value:
+            tail -= 1
+        tail += 1
+        values[tail], queue[tail], number[tail] = value, here, j
     chosen, j = [], len(where) - 1
     while j:
         chosen.append(where[j])

@@ -56,6 +56,37 @@ def test_forgetting_words(monkeypatch):
         assert ids(text)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_behind_words_make_no_new_words():
+    ids = packing.WordIds(PATH)
+    ids.of(["Café thonre été , . !! ... *** ?\""])
+    known = ids.known
+    text = "CAFÉ!! thonre... ÉTÉ*** thonre, été. Thonre?\" café***\nThonre!!"
+    assert ids(text)[0].tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert ids.known == known
+
+
+def test_division_sign_is_no_letter():
+    tokenizer, ids = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    for text in ("÷.", "a÷, b", "÷... ×. x×,"):
+        assert ids(text)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_odd_texts_together(seed):
+    rng, tokenizer, ids = random.Random(seed), Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    parts = [*"abcZÉßœ÷×İıªé12 .,!?'\"*|<>~\t\n\r\u0301\u00a0\u0338", "😀", "Ⱥ", "ǅ", "क़", "Σ", " ", "\n", " the", "'s", "'LL ", "...", ".' ",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>. ", "=\u0338"]
+    for _ in range(300):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(rng.randint(1, 4))]
+        for text, (got, ends) in zip(texts, ids.of(texts), strict=True):
+            assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, texts
+            words = text.replace("\n", " \n ").split(" ")
+            sizes = np.cumsum([len(tokenizer.encode(w, add_special_tokens=False).ids) for w in words])
+            want = {int(n) for n, w in zip(sizes, words) if w[-1:] in (".", "!", "?", "\n")}
+            assert {int(n) for n in ends} == want, texts
+    assert ids.of([]) == []
+
+
 def check(rows, texts):
     """Every id once, sequences gapless; returns padding and number of sequences."""
     tokenizer = Tokenizer.from_file(PATH)
